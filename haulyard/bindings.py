@@ -93,9 +93,13 @@ _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 
 
 def iot(spark: SparkSession, folder: str) -> DataFrame:
-    """One reading per event; ``event_id`` stays as the unique key."""
+    return iot_of(table(spark, folder, "events"))
+
+
+def iot_of(events: DataFrame) -> DataFrame:
+    """One reading per event (batch or stream); ``event_id`` stays as the unique key."""
     number = "((user_id * 7) % 50 + 1)"
-    return table(spark, folder, "events").selectExpr(
+    return events.selectExpr(
         "event_id",
         f"concat('v-', lpad(CAST({number} AS STRING), 3, '0')) AS vehicle_id",
         f"CASE WHEN {number} <= 17 THEN 'old' WHEN {number} <= 35 THEN 'mid' ELSE 'new' END AS vehicle_tier",

@@ -492,3 +492,42 @@ ORACLES["contamination_cut"] = f"""WITH {IOT_FEAT}, s AS (SELECT event_id, vehic
   q AS (SELECT vehicle_tier, CASE vehicle_tier WHEN 'OLD' THEN quantile_cont(score, 0.09) WHEN 'MID' THEN quantile_cont(score, 0.05)
     WHEN 'NEW' THEN quantile_cont(score, 0.02) ELSE quantile_cont(score, 0.05) END AS cut FROM s GROUP BY vehicle_tier)
   SELECT event_id, vehicle_tier, CASE WHEN score < cut THEN 1 ELSE 0 END AS is_low FROM s JOIN q USING (vehicle_tier)"""
+
+# ---- alarms, metrics, streams ------------------------------------------------------------
+
+SERIES = f"""SELECT event_type AS metric, time_bucket(INTERVAL 300 SECONDS, ts) AS period_start, {rnd("avg(value)", 6)} AS average,
+  {rnd("sum(value)", 6)} AS total, count(value) AS samples FROM events GROUP BY 1, 2"""
+ORACLES["metric_series"] = SERIES
+ORACLES["stream_fleet_metrics"] = f"""WITH s AS ({SERIES})
+  SELECT * FROM s WHERE period_start + INTERVAL 300 SECONDS <= (SELECT max(ts) - INTERVAL 600 SECONDS FROM events)"""
+ORACLES["alarm_states"] = f"""WITH rules(alarm, metric, op, threshold, stat, period, periods, missing) AS (VALUES
+    ('Click-Low', 'click', '<', 20e0, 'Average', 300, 2, false), ('View-High', 'view', '>', 30e0, 'Average', 300, 2, false),
+    ('Error-Missing', 'error', '<', 5e0, 'Average', 300, 1, true), ('Signup-Low', 'signup', '<', 18e0, 'Average', 3600, 1, false),
+    ('Purchase-Spike', 'purchase', '>', 150e0, 'Sum', 3600, 2, false)),
+  samples AS (SELECT alarm, CAST(floor(epoch(ts) / period) * period AS BIGINT) AS b, avg(value) AS a, sum(value) AS s
+    FROM events JOIN rules ON event_type = metric GROUP BY 1, 2),
+  grid AS (SELECT rules.*, unnest(generate_series(lo, hi, period)) AS b FROM rules JOIN (SELECT alarm, min(b) AS lo, max(b) AS hi FROM samples GROUP BY 1) USING (alarm)),
+  v AS (SELECT grid.*, {rnd("CASE WHEN stat = 'Sum' THEN s ELSE a END", 6)} AS value FROM grid LEFT JOIN samples USING (alarm, b)),
+  j AS (SELECT *, CASE WHEN value IS NULL THEN CAST(missing AS INTEGER) WHEN op = '<' THEN CAST(value < threshold AS INTEGER)
+    ELSE CAST(value > threshold AS INTEGER) END AS breach FROM v),
+  k AS (SELECT *, lag(breach, 1, 0) OVER (PARTITION BY alarm ORDER BY b) AS before FROM j)
+  SELECT alarm, metric, make_timestamp(b * 1000000) AS period_start, value, breach,
+    CASE WHEN breach = 1 AND (periods = 1 OR before = 1) THEN 'ALARM' ELSE 'OK' END AS state FROM k"""
+ORACLES["stream_iot_features"] = f"""WITH {IOT}, iot_clean AS (SELECT iot.* REPLACE (trim(upper(vehicle_id)) AS vehicle_id, trim(upper(vehicle_tier)) AS vehicle_tier,
+    coalesce(upper(brake_status), 'UNKNOWN') AS brake_status) FROM iot WHERE speed_kmh >= 0 AND fuel_level_pct BETWEEN 0 AND 100 AND engine_temp_C BETWEEN 50 AND 135)
+  SELECT *, {IOT_FEATURES}, CASE WHEN engine_temp_C > 108 OR fuel_level_pct < 15 THEN 'CRITICAL'
+    WHEN alert_flag OR brake_status = 'WARN' OR engine_temp_C > 100 THEN 'WARNING' ELSE 'NONE' END AS alert_severity FROM iot_clean"""
+ORACLES["stream_iot_enriched"] = ORACLES["iot_enriched"]
+ORACLES["stream_first_orders"] = "SELECT DISTINCT 'BK' || l_orderkey || '-' || l_linenumber AS booking_id FROM lineitem"
+ORACLES["published_metrics"] = f"""WITH {IOT_FLAG}, {BK_LARGE}, fk AS ({FLEET} FROM flagged), fh AS ({HEALTHY} FROM flagged), dk AS ({DELIVERY} FROM large),
+  m(metric, value, unit, dimension) AS (
+    SELECT 'RecordsIngested', CAST(count(*) AS DOUBLE), 'Count', 'Pipeline=Ingestion' FROM bk
+    UNION ALL SELECT 'IngestionSuccessRate', {rnd("count(booking_id) * 1e2 / count(*)", 1)}, 'Percent', 'Pipeline=Ingestion' FROM bk
+    UNION ALL SELECT 'RecordsProcessed', CAST(count(*) AS DOUBLE), 'Count', 'Pipeline=ETL' FROM large
+    UNION ALL SELECT 'ETLSuccessRate', CASE WHEN count(*) > 0 THEN 1e2 ELSE 0e0 END, 'Percent', 'Pipeline=ETL' FROM large
+    UNION ALL SELECT 'AnomaliesDetected', CAST(anomaly AS DOUBLE), 'Count', 'Pipeline=ML' FROM fh
+    UNION ALL SELECT 'FleetHealthScore', healthy_pct, 'Percent', 'Fleet=Fleet' FROM fh
+    UNION ALL SELECT 'ActiveVehicles', CAST(total_vehicles AS DOUBLE), 'Count', 'Fleet=Fleet' FROM fk
+    UNION ALL SELECT 'DelayRate', delay_rate_pct, 'Percent', 'Delivery=Delivery' FROM dk
+    UNION ALL SELECT 'TotalOrders', CAST(total_orders AS DOUBLE), 'Count', 'Delivery=Delivery' FROM dk
+    UNION ALL SELECT 'TotalRevenue', total_revenue_inr, 'Count', 'Delivery=Delivery' FROM dk) SELECT * FROM m"""

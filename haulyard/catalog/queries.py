@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,9 @@ from haulyard.functions.columns import as_timestamp, clean_title, clean_upper, f
 from haulyard.operators import encode, impute, metrics, sampling, scaling
 from haulyard.operators.dedup import drop_repeats
 from haulyard.plans import alarms, anomaly, bookings, enrich, iot, kpis, models, quality, reports, weather
+from haulyard.session import materialise, shared_folder
+from haulyard.sources import readers
+from haulyard.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -541,3 +545,154 @@ def contamination_cut(spark, folder):
     """Fixed score in place of the forest's: readings below the tier's expected share are flagged."""
     frame = featured_iot(spark, folder).withColumn("score", F.col("engine_health_score") + F.col("speed_kmh") / 7)
     return anomaly.flag_lowest(frame, "score", "vehicle_tier", "is_low").select("event_id", "vehicle_tier", "is_low")
+
+
+# ---- alarms and metrics ------------------------------------------------------------------
+
+# name, metric, operator, threshold, statistic, period seconds, periods, missing data
+EVENT_RULES = [
+    ("Click-Low", "click", "<", 20.0, "Average", 300, 2, "notBreaching"),
+    ("View-High", "view", ">", 30.0, "Average", 300, 2, "notBreaching"),
+    ("Error-Missing", "error", "<", 5.0, "Average", 300, 1, "breaching"),
+    ("Signup-Low", "signup", "<", 18.0, "Average", 3600, 1, "notBreaching"),
+    ("Purchase-Spike", "purchase", ">", 150.0, "Sum", 3600, 2, "notBreaching"),
+]
+
+
+@query
+def metric_series(spark, folder):
+    return shown(alarms.metric_series(B.metric_events(spark, folder)))
+
+
+@query
+def alarm_states(spark, folder):
+    rules = alarms.rules_frame(spark, EVENT_RULES)
+    return shown(alarms.alarm_states(B.metric_events(spark, folder), rules))
+
+
+@query
+def published_metrics(spark, folder):
+    """The metric table measured on the data; the model metrics come with the model report."""
+    flagged = flagged_iot(spark, folder)
+    large = large_frame(spark, folder)
+    return alarms.metric_table(
+        alarms.ingestion_rates(B.bookings(spark, folder), large),
+        kpis.fleet_health(flagged, "confirmed_anomaly"),
+        kpis.fleet_kpis(flagged),
+        kpis.delivery_kpis(large),
+    )
+
+
+# ---- files -------------------------------------------------------------------------------
+
+
+@query
+def ingestion_manifest(spark, folder):
+    return shown(readers.manifest(spark, folder))
+
+
+# ---- models and anomalies ----------------------------------------------------------------
+
+
+def trained_models(spark, folder, only=None):
+    features = models.delay_features(large_frame(spark, folder))
+    return models.train(features, ["booking_id"], models.QUICK, only)
+
+
+@query
+def delay_models(spark, folder):
+    return models.evaluate(trained_models(spark, folder), models.QUICK)
+
+
+@query
+def feature_importance(spark, folder):
+    forest = trained_models(spark, folder, ["Random Forest"]).models["Random Forest"]
+    return models.feature_importance(spark, forest)
+
+
+@query
+def ml_report(spark, folder):
+    return reports.ml_report(materialise(models.evaluate(trained_models(spark, folder), models.QUICK)))
+
+
+def detected(spark, folder):
+    return anomaly.detect(featured_iot(spark, folder), ["event_id"])
+
+
+@query
+def iforest(spark, folder):
+    columns = ["iso_forest_score", "iso_forest_anomaly", "confirmed_anomaly", "anomaly_severity"]
+    return detected(spark, folder).select("event_id", "vehicle_id", "vehicle_tier", *columns)
+
+
+@query
+def lof(spark, folder):
+    return anomaly.lof_flags(featured_iot(spark, folder), ["event_id"])
+
+
+@query
+def anomaly_report(spark, folder):
+    return reports.anomaly_report(materialise(detected(spark, folder)))
+
+
+@query
+def master_report(spark, folder):
+    readings = materialise(flagged_iot(spark, folder))
+    orders = materialise(large_frame(spark, folder))
+    return reports.master_report(readings, orders, "confirmed_anomaly")
+
+
+@query
+def acceptance_checks(spark, folder):
+    """Pass or fail of the acceptance rules on measured counts and rates."""
+    flagged = flagged_iot(spark, folder)
+    measured = kpis.kpi_summary(
+        kpis.fleet_kpis(flagged), kpis.fleet_health(flagged, "confirmed_anomaly"), kpis.delivery_kpis(large_frame(spark, folder))
+    ).select(F.col("KPI").alias("measure"), F.col("Value").alias("value"))
+    files = readers.manifest(spark, folder).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    measured = measured.unionByName(files.select(F.lit("Landed Files").alias("measure"), "value"))
+    return quality.acceptance(measured, quality.ACCEPTANCE_RULES)
+
+
+# ---- streams driven to completion over the test tables -----------------------------------
+
+
+def _finished(spark, stream: DataFrame) -> DataFrame:
+    """Run the stream over all that has landed, into a table in the shared folder, and read that."""
+    folder = f"{shared_folder(spark).rstrip('/')}/haulyard/{uuid.uuid4().hex}"
+    feeds.parquet_sink(stream, f"{folder}/rows", f"{folder}/state").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+@query
+def stream_fleet_metrics(spark, folder):
+    events = feeds.parquet_stream(spark, folder, "events.parquet")
+    metric = events.selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_type AS metric", "value")
+    return shown(_finished(spark, feeds.fleet_metrics(metric)))
+
+
+@query
+def stream_iot_features(spark, folder):
+    """Streamed features with the medians of a batch snapshot."""
+    medians = impute.fit_medians(B.iot(spark, folder), iot.numeric_columns(B.iot(spark, folder), "full"))
+    stream = B.iot_of(feeds.parquet_stream(spark, folder, "events.parquet"))
+    return shown(_finished(spark, feeds.iot_features(stream, medians)))
+
+
+@query
+def stream_iot_enriched(spark, folder):
+    summary = enrich.weather_by_city(featured_weather(spark, folder))
+    stream = B.iot_of(feeds.parquet_stream(spark, folder, "events.parquet"))
+    joined = feeds.enriched_iot(feeds.iot_features(stream, {}), summary)
+    return shown(_rounded_doubles(_finished(spark, joined), IOT_MEANS))
+
+
+@query
+def stream_first_orders(spark, folder):
+    """Order ids streamed as bookings and kept once (each line item repeats its order's id)."""
+    items = feeds.parquet_stream(spark, folder, "lineitem.parquet")
+    sent = items.select(
+        F.concat(F.lit("BK"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("booking_id"),
+        F.col("l_shipdate").cast("timestamp").alias("booking_timestamp"),
+    )
+    return _finished(spark, feeds.first_bookings(sent, "100000 days").select("booking_id"))
