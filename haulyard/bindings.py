@@ -24,13 +24,14 @@ def bookings(spark: SparkSession, folder: str) -> DataFrame:
     )
     origin = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("origin_city"))
     target = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("destination_city"))
-    supplier = supplier.select("s_suppkey", "s_nationkey").join(F.broadcast(origin), "s_nationkey")
-    customer = customer.select("c_custkey", "c_name", "c_nationkey").join(F.broadcast(target), "c_nationkey")
+    # left-deep over plain tables: each right side is broadcast exactly while its files are small
     joined = (
         item.join(order, item.l_orderkey == order.o_orderkey)
-        .join(customer, order.o_custkey == customer.c_custkey)
-        .join(supplier, item.l_suppkey == supplier.s_suppkey)
-        .join(part, item.l_partkey == part.p_partkey)
+        .join(customer.select("c_custkey", "c_name", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(origin, "s_nationkey")
+        .join(target, "c_nationkey")
     )
     conditions = ", ".join(f"'{c}'" for c in CONDITION_RISK)
     risks = ", ".join(f"{r}D" for r in CONDITION_RISK.values())

@@ -616,7 +616,7 @@ def ml_report(spark, folder):
 
 
 def detected(spark, folder):
-    return anomaly.detect(featured_iot(spark, folder), ["event_id"])
+    return anomaly.detect(materialise(featured_iot(spark, folder)), ["event_id"])
 
 
 @query
@@ -627,7 +627,7 @@ def iforest(spark, folder):
 
 @query
 def lof(spark, folder):
-    return anomaly.lof_flags(featured_iot(spark, folder), ["event_id"])
+    return anomaly.lof_flags(materialise(featured_iot(spark, folder)), ["event_id"])
 
 
 @query

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from haulyard.constants import TRUTHY_TEXT
 
 LETTER = r"[\p{Lu}\p{Ll}\p{Lt}]"
-NON_LETTER = r"[^\p{Lu}\p{Ll}\p{Lt}]"
+GLUED = rf"([^\p{{Lu}}\p{{Ll}}\p{{Lt}} ])(?={LETTER})"  # a letter right after a non-letter other than space
+SEAM = "\ue000 "  # private-use character and space: makes such a letter start a word
 
 
 def _col(c: Column | str) -> Column:
@@ -72,10 +73,14 @@ def share_pct(top: Column, bottom: Column, digits: int = 1) -> Column:
 
 
 def title_case(c: Column | str) -> Column:
-    """Capitalise the first letter after every non-letter ('l&t goods' becomes 'L&T Goods')."""
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(f"{LETTER}+|{NON_LETTER}+"), F.lit(0))
-    raised = F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substr(run, F.lit(2))))
-    return F.array_join(raised, "")
+    """Capitalise the first letter after every non-letter ('l&t goods' becomes 'L&T Goods').
+
+    initcap starts words at spaces only. Texts with letters after other characters get a seam
+    there first, which is removed again; most texts have none and skip that.
+    """
+    value = _col(c)
+    seamed = F.initcap(F.regexp_replace(value, GLUED, f"$1{SEAM}"))
+    return F.when(value.rlike(GLUED), F.replace(seamed, F.lit(SEAM), F.lit(""))).otherwise(F.initcap(value))
 
 
 def clean_title(c: Column | str) -> Column:

@@ -20,13 +20,17 @@ def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None
     if not columns:
         return {}
     values = df.select(*[number(c).alias(c) for c in columns])
-    missing = values.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    wanted = [c for c in columns if missing[c]]
+    wanted = _with_gaps(values, columns)
     if not wanted:
         return {}
     return {c: q[0] for c, q in exact_quantiles(values, wanted, [0.5])[None].items()}
 
 
+def _with_gaps(values: DataFrame, columns: Sequence[str]) -> list[str]:
+    missing = values.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if missing[c]]
+
+
 def filled(column: str, medians: dict[str, float | None]) -> Column:
     """The numeric column with missing values replaced by its fitted median."""
     value = number(column)
@@ -45,8 +49,11 @@ def fill_group_medians(df: DataFrame, columns: Sequence[str], by: str) -> DataFr
     """Fill gaps with the median of the row's group; rows without a group stay as they are."""
     columns = list(columns)
     values = df.withColumns({c: number(c) for c in columns})
-    medians = quantile_frame(values, columns, [0.5], by)
-    medians = medians.select(by, *[F.col(c)[0].alias(f"_median_{c}") for c in columns])
+    wanted = _with_gaps(values, columns) if columns else []
+    if not wanted:
+        return values
+    medians = quantile_frame(values, wanted, [0.5], by)
+    medians = medians.select(by, *[F.col(c)[0].alias(f"_median_{c}") for c in wanted])
     joined = values.join(medians, by, "left")
-    kept = [F.coalesce(F.col(c), F.col(f"_median_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns]
+    kept = [F.coalesce(F.col(c), F.col(f"_median_{c}")).alias(c) if c in wanted else F.col(c) for c in df.columns]
     return joined.select(*kept)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,15 @@ MAX_LISTED = 50_000  # distinct values listed per (group, column, quantile)
 MAX_GROUPS = 1_000
 
 
+class Step(NamedTuple):
+    """Values of one equal step of an interval; step -1 holds everything below the interval."""
+
+    index: int
+    n: int
+    low: float
+    high: float
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None
 ) -> dict | None:
@@ -62,15 +72,19 @@ def exact_quantiles(
         narrowed = _step_counts(source, columns, by, open_items) if open_items else {}
         for item, (low, high, rank) in list(open_items.items()):
             group, ci, pi = item
-            low, high, distinct = _narrow(narrowed[item], rank)
-            if low == high:
-                result[group][columns[ci]][pi] = low
+            lower, upper = _steps_of_ranks(narrowed[item], rank)
+            if lower is not upper:
+                # neighbouring ranks in different steps: the last value of one, the first of the other
+                result[group][columns[ci]][pi] = _between(lower.high, upper.low, rank)
+                del open_items[item]
+            elif lower.low == lower.high:
+                result[group][columns[ci]][pi] = lower.low
                 del open_items[item]
-            elif distinct <= MAX_LISTED:
-                to_list[item] = (low, high, rank)
+            elif lower.n <= MAX_LISTED:
+                to_list[item] = (lower.low, lower.high, rank)
                 del open_items[item]
             else:
-                open_items[item] = (low, high, rank)
+                open_items[item] = (lower.low, lower.high, rank)
         if to_list:
             listed = _value_counts(source, columns, by, to_list)
             for (group, ci, pi), (low, high, rank) in to_list.items():
@@ -146,7 +160,7 @@ def _inside(source: DataFrame, columns: list[str], by: str | None, items: dict)
 
 
 def _step_counts(source: DataFrame, columns: list[str], by: str | None, items: dict) -> dict:
-    """Per item the rows (step, count, min, max); step -1 holds everything below the interval."""
+    """Per item the steps that hold values, in order."""
     position = (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(float(STEPS))
     step = F.when(F.col("_value") < F.col("_low"), F.lit(-1)).otherwise(
         F.least(position.cast("int"), F.lit(STEPS - 1))
@@ -160,23 +174,19 @@ def _step_counts(source: DataFrame, columns: list[str], by: str | None, items: d
     keys = list(items)
     found = {k: [] for k in keys}
     for r in rows:
-        found[keys[r["_item"]]].append((r["_step"], r["n"], r["low"], r["high"]))
+        found[keys[r["_item"]]].append(Step(r["_step"], r["n"], r["low"], r["high"]))
     return {k: sorted(v) for k, v in found.items()}
 
 
-def _narrow(steps: list, rank: float):
-    """The interval of the steps holding the two ranks next to ``rank``, and a bound on its values."""
-    first, second = math.floor(rank), math.ceil(rank)
-    seen, low, high, distinct = 0, None, None, 0
-    for step, n, smallest, largest in steps:
-        begin, seen = seen, seen + n
-        if step >= 0 and begin <= second and seen > first:
-            low = smallest if low is None else low
-            high = largest
-            distinct += 1 if smallest == largest else n
-    if low is None:
+def _steps_of_ranks(steps: list[Step], rank: float) -> tuple[Step, Step]:
+    """The steps holding the two ranks next to ``rank``. One step is strictly narrower than its interval."""
+    wanted, found, seen = [math.floor(rank), math.ceil(rank)], [], 0
+    for step in steps:
+        begin, seen = seen, seen + step.n
+        found += [step for r in wanted if begin <= r < seen and step.index >= 0]
+    if len(found) != 2:
         raise AssertionError("quantile not enclosed")
-    return low, high, distinct
+    return found[0], found[1]
 
 
 def _value_counts(source: DataFrame, columns: list[str], by: str | None, items: dict) -> dict:
@@ -208,4 +218,8 @@ def _interpolate(below: int, values: list, rank: float) -> float:
             low = value
         if begin <= second < seen:
             high = value
-    return low + (high - low) * (rank - first)
+    return _between(low, high, rank)
+
+
+def _between(low: float, high: float, rank: float) -> float:
+    return low + (high - low) * (rank - math.floor(rank))

@@ -36,18 +36,27 @@ def numeric_columns(df: DataFrame, profile: str) -> list[str]:
     return has(df, NUMERIC if profile == "full" else NUMERIC[:-1])
 
 
+def _identity(df: DataFrame) -> dict[str, Column]:
+    """What deciding between duplicates needs: the tidy key and real instants."""
+    instants = has(df, ["booking_timestamp", "estimated_delivery"])
+    return {"booking_id": clean_upper("booking_id")} | {c: as_timestamp(df, c) for c in instants}
+
+
+def _numbers(numeric: list[str], medians: dict) -> dict[str, Column]:
+    return {c: filled(c, medians) for c in numeric}
+
+
+def _texts(df: DataFrame) -> dict[str, Column]:
+    return {c: clean_upper(c) for c in has(df, UPPER)} | {c: clean_title(c) for c in has(df, TITLE)}
+
+
 def normalise(df: DataFrame, profile: str = "full", medians: dict | None = None) -> DataFrame:
     """Coerced, filled and tidied columns in one projection; no row is dropped here."""
     numeric = numeric_columns(df, profile)
     if medians is None:
         medians = fit_medians(df, numeric)
-    columns: dict[str, Column] = {c: filled(c, medians) for c in numeric}
-    columns |= {c: clean_upper(c) for c in has(df, UPPER)}
-    columns |= {c: clean_title(c) for c in has(df, TITLE)}
-    if profile == "full":
-        columns |= {c: as_timestamp(df, c) for c in has(df, ["booking_timestamp", "estimated_delivery"])}
-        columns["booking_id"] = clean_upper("booking_id")
-    return df.withColumns(columns)
+    identity = _identity(df) if profile == "full" else {}
+    return df.withColumns(_numbers(numeric, medians) | _texts(df) | identity)
 
 
 def first_bookings(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -58,12 +67,23 @@ def first_bookings(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
 
 
 def clean(df: DataFrame, profile: str = "full", medians: dict | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Normalise, keep the first row per booking, then (full profile) drop invalid rows.
+    """Keep the first row per booking, normalise, then (full profile) drop invalid rows.
 
-    The order matters: an invalid first duplicate removes its booking.
+    Medians are those of the whole feed, duplicates included. An invalid first duplicate removes its
+    booking, so the validity filter comes last. Text is tidied after the duplicates are gone: the
+    survivor depends on key and times only, and fewer rows pay for it.
     """
-    kept = first_bookings(normalise(df, profile, medians), tie_break)
-    return kept.where(_positive()).na.drop(subset=REQUIRED) if profile == "full" else kept
+    numeric = numeric_columns(df, profile)
+    if medians is None:
+        medians = fit_medians(df, numeric)
+    keyed = df.withColumns(_identity(df)) if profile == "full" else df
+    kept = first_bookings(keyed, tie_break)
+    if profile == "full":
+        kept = kept.na.drop(subset=REQUIRED)
+    kept = kept.withColumns(_numbers(numeric, medians))
+    if profile == "full":
+        kept = kept.where(_positive())
+    return kept.withColumns(_texts(kept))
 
 
 def _positive() -> Column:
@@ -72,7 +92,9 @@ def _positive() -> Column:
 
 def run_summary(df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Rows in, duplicates and invalid rows removed (counted apart), rows out, and their rates."""
-    kept = first_bookings(normalise(df), tie_break)
+    kept = first_bookings(df.withColumns(_identity(df)), tie_break)
+    numeric = numeric_columns(df, "full")
+    kept = kept.withColumns(_numbers(numeric, fit_medians(df, numeric)) | _texts(kept))
     present = [F.col(c).isNotNull() for c in REQUIRED]
     valid = reduce(and_, present, F.coalesce(_positive(), F.lit(False)))
     totals = kept.agg(

@@ -42,7 +42,7 @@ class Settings:
     threshold: float = DECISION_THRESHOLD
 
 
-QUICK = Settings(rounds=4, trees=10, forest_depth=5, step=0.3)
+QUICK = Settings(rounds=3, step=0.3, depth_a=4, depth_b=3, trees=8, forest_depth=5)
 
 
 @dataclass
@@ -64,17 +64,31 @@ def delay_features(df: DataFrame, encode_categories: bool = True, codes: DataFra
     return label_encode(wide, DELAY_CATEGORIES, codes) if encode_categories else wide
 
 
-def training_frame(features: DataFrame, keys: list[str], settings: Settings) -> DataFrame:
-    """Split, balance and weight in one table that every model then reads.
+def split_and_balance(features: DataFrame, keys: list[str], settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """(training part, test part), from one stored table partitioned by the split.
 
-    All decisions are per-row hashes and two counts, so no row is moved; the test part keeps its
-    natural class shares.
+    All decisions are per-row hashes and two counts, so no row is moved. Only the training part is
+    balanced; the test part keeps its natural class shares.
     """
     split = sampling.split_flag(features.select(*keys, "target", *DELAY_FEATURES), keys, settings.test_share, SPLIT_SEED)
     split = sampling.split_flag(split, keys, settings.validation_share, VALIDATION_SEED, "is_validation")
-    frame = materialise(split)
-    train = sampling.undersample(frame.where(~F.col("is_test")), "target", keys, MAJORITY_FACTOR, BALANCE_SEED)
-    return train.unionByName(frame.where("is_test"))
+    stored = materialise(split, ("is_test",))
+    train_part = sampling.undersample(stored.where(~F.col("is_test")), "target", keys, MAJORITY_FACTOR, BALANCE_SEED)
+    return train_part, stored.where("is_test")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Tree growing passes over its rows many times: a table of few files is dealt out to all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _vectors(df: DataFrame, scaler: dict) -> DataFrame:
+    """Add the model columns as they are ('plain') and scaled ('scaled')."""
+    both = scaling.scale(df, DELAY_FEATURES, scaler, suffix="_z")
+    plain = VectorAssembler(inputCols=DELAY_FEATURES, outputCol="plain")
+    scaled = VectorAssembler(inputCols=[f"{c}_z" for c in DELAY_FEATURES], outputCol="scaled")
+    return scaled.transform(plain.transform(both))
 
 
 def train(features: DataFrame, keys: list[str], settings: Settings = Settings(), only: list[str] | None = None) -> Trained:
@@ -83,25 +97,22 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
     Boosted models use scaled columns, a positive-class weight and a validation part for early
     stopping (on loss); the forest uses plain columns and balanced class weights.
     """
-    frame = training_frame(features, keys, settings)
-    train_part = frame.where(~F.col("is_test"))
+    train_part, test_part = split_and_balance(features, keys, settings)
     out = Trained(scaler=scaling.fit_scaler(train_part, DELAY_FEATURES))
     counts = train_part.agg(
         F.count_if(F.col("target") == 0).alias("n0"), F.count_if(F.col("target") == 1).alias("n1")
     ).first()
     n0, n1 = max(counts["n0"], 1), max(counts["n1"], 1)
     positive = F.col("target") == 1
-    weighted = scaling.scale(frame, DELAY_FEATURES, out.scaler, suffix="_z").withColumns(
+    weighted = train_part.withColumns(
         {
             "positive_weight": F.when(positive, n0 / n1).otherwise(1.0),
             "balanced_weight": F.when(positive, (n0 + n1) / (2 * n1)).otherwise((n0 + n1) / (2 * n0)),
         }
     )
-    plain = VectorAssembler(inputCols=DELAY_FEATURES, outputCol="plain")
-    scaled = VectorAssembler(inputCols=[f"{c}_z" for c in DELAY_FEATURES], outputCol="scaled")
-    vectors = scaled.transform(plain.transform(weighted)).select(
-        *keys, "target", "is_test", "is_validation", "positive_weight", "balanced_weight", "plain", "scaled"
-    )
+    kept = ["target", "is_validation", "positive_weight", "balanced_weight"]
+    fit_part = _spread(_vectors(weighted, out.scaler).select(*kept, "plain", "scaled"))
+    test_part = _vectors(test_part, out.scaler).select(*keys, "target", "plain", "scaled")
     boosted = dict(
         featuresCol="scaled",
         labelCol="target",
@@ -123,7 +134,6 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
             seed=SPLIT_SEED,
         ),
     }
-    fit_part, test_part = vectors.where(~F.col("is_test")), vectors.where("is_test")
     for name, estimator in estimators.items():
         if only and name not in only:
             continue

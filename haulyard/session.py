@@ -45,12 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from its files.
 
     For frames that several jobs read: the files outlive executors, cut the lineage, and stay
     columnar, so each reader still scans only its own columns.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/haulyard/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
