@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from haulyard.functions.columns import as_timestamp, clean_title, clean_upper, f
 from haulyard.operators import encode, impute, metrics, sampling, scaling
 from haulyard.operators.dedup import drop_repeats
 from haulyard.plans import alarms, anomaly, bookings, enrich, iot, kpis, models, quality, reports, weather
-from haulyard.session import materialise, shared_folder
+from haulyard.session import materialise, scratch_path
 from haulyard.sources import readers
 from haulyard.streaming import feeds
 
@@ -292,7 +291,7 @@ def route_distance(spark, folder):
     nation = B.table(spark, folder, "nation").select(
         F.col("n_name").alias("destination_city"), F.col("n_nationkey").alias("c_nationkey")
     )
-    named = frame.join(F.broadcast(nation), "destination_city").withColumn("destination_city", bridged)
+    named = frame.join(nation, "destination_city").withColumn("destination_city", bridged)
     return enrich.route_distance(named).select("booking_id", "origin_city", "destination_city", "route_km")
 
 
@@ -616,7 +615,7 @@ def ml_report(spark, folder):
 
 
 def detected(spark, folder):
-    return anomaly.detect(materialise(featured_iot(spark, folder)), ["event_id"])
+    return anomaly.detect(materialise(featured_iot(spark, folder)))
 
 
 @query
@@ -659,7 +658,7 @@ def acceptance_checks(spark, folder):
 
 def _finished(spark, stream: DataFrame) -> DataFrame:
     """Run the stream over all that has landed, into a table in the shared folder, and read that."""
-    folder = f"{shared_folder(spark).rstrip('/')}/haulyard/{uuid.uuid4().hex}"
+    folder = scratch_path(spark)
     feeds.parquet_sink(stream, f"{folder}/rows", f"{folder}/state").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 

@@ -1,8 +1,8 @@
 """End-to-end runs: read a zone, apply the plans, write the next zone.
 
 Order of a full run: the three feeds, their enrichment, the large feeds, then models, anomalies,
-dashboard extracts and reports. Frames that are both checked and written are stored first, so each
-feed is read and cleaned once.
+dashboard extracts and reports. Text feeds are parsed once into a stored table, since cleaning reads
+single columns of them several times; checks read the run that was just written.
 """
 
 from __future__ import annotations
@@ -20,21 +20,21 @@ from haulyard.sources import readers, writers
 
 def bookings_etl(spark: SparkSession, raw: str, out: str) -> DataFrame:
     """JSON bookings to dated parquet; returns the check results."""
-    rows = materialise(bookings.features(bookings.clean(readers.raw_json(spark, raw, BOOKINGS))))
-    writers.dated_parquet(rows, out)
-    return quality.check_bookings(rows)
+    landed = materialise(readers.raw_json(spark, raw, BOOKINGS))
+    writers.dated_parquet(bookings.features(bookings.clean(landed)), out)
+    return quality.check_bookings(readers.latest_run(spark, out))
 
 
 def iot_etl(spark: SparkSession, raw: str, out: str) -> DataFrame:
-    rows = materialise(iot.features(iot.clean(readers.raw_json(spark, raw, IOT))))
-    writers.dated_parquet(rows, out)
-    return quality.check_iot(rows)
+    landed = materialise(readers.raw_json(spark, raw, IOT))
+    writers.dated_parquet(iot.features(iot.clean(landed)), out)
+    return quality.check_iot(readers.latest_run(spark, out))
 
 
 def weather_etl(spark: SparkSession, raw: str, out: str) -> DataFrame:
-    rows = materialise(weather.features(weather.clean(readers.raw_json(spark, raw, WEATHER))))
-    writers.dated_parquet(rows, out)
-    return quality.check_weather(rows)
+    landed = materialise(readers.raw_json(spark, raw, WEATHER))
+    writers.dated_parquet(weather.features(weather.clean(landed)), out)
+    return quality.check_weather(readers.latest_run(spark, out))
 
 
 def enrichment(spark: SparkSession, iot_folder: str, bookings_folder: str, weather_folder: str, out: str) -> None:
@@ -48,10 +48,10 @@ def enrichment(spark: SparkSession, iot_folder: str, bookings_folder: str, weath
 
 def large_etl(spark: SparkSession, bookings_raw: str, iot_raw: str, out: str, max_chunks: int | None = 60) -> DataFrame:
     """CSV chunks of both large feeds to row-bounded parquet files; returns the status shares."""
-    orders = readers.csv_chunks(spark, bookings_raw, text_schema(BOOKINGS), max_chunks)
+    orders = materialise(readers.csv_chunks(spark, bookings_raw, text_schema(BOOKINGS), max_chunks))
     orders = bookings.features(bookings.clean(orders, "large"), "large")
     writers.chunked_parquet(orders, f"{out}/bookings-large")
-    readings = readers.csv_chunks(spark, iot_raw, text_schema(IOT), max_chunks)
+    readings = materialise(readers.csv_chunks(spark, iot_raw, text_schema(IOT), max_chunks))
     writers.chunked_parquet(iot.features(iot.clean(readings, "large"), "large"), f"{out}/iot-large")
     return kpis.on_bookings(readers.parquet_chunks(spark, f"{out}/bookings-large"), kpis.STATUS_BREAKDOWN)
 
@@ -72,9 +72,9 @@ def dashboard_extracts(iot_table: DataFrame, bookings_table: DataFrame, summary:
     writers.csv_extract(kpis.tier_performance(iot_table), f"{out}/tier_performance", single=True)
 
 
-def anomaly_run(iot_table: DataFrame, keys: Sequence[str], out: str, trees: int = anomaly.TREES) -> DataFrame:
+def anomaly_run(iot_table: DataFrame, out: str, trees: int = anomaly.TREES) -> DataFrame:
     """Detect, store the flagged readings and the report; returns the stored readings."""
-    writers.overwrite_parquet(anomaly.detect(iot_table, keys, trees=trees), f"{out}/readings")
+    writers.overwrite_parquet(anomaly.detect(iot_table, trees=trees), f"{out}/readings")
     found = iot_table.sparkSession.read.parquet(f"{out}/readings")
     writers.json_document(reports.anomaly_report(found), f"{out}/report")
     return found

@@ -45,12 +45,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in this application's part of the shared folder."""
+    folder = shared_folder(spark).rstrip("/")
+    return f"{folder}/haulyard/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and go on from its files.
 
     For frames that several jobs read: the files outlive executors, cut the lineage, and stay
-    columnar, so each reader still scans only its own columns.
+    columnar, so each reader still scans only its own columns. All tables of an application lie in
+    one folder named after it, which can be removed when the application has ended.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/haulyard/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
