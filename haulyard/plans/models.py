@@ -42,7 +42,7 @@ class Settings:
     threshold: float = DECISION_THRESHOLD
 
 
-QUICK = Settings(rounds=3, step=0.3, depth_a=4, depth_b=3, trees=8, forest_depth=5)
+QUICK = Settings(rounds=2, step=0.5, depth_a=4, depth_b=3, trees=5, forest_depth=4)
 
 
 @dataclass
