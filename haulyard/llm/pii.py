@@ -142,6 +142,9 @@ def disclosing_terms(docs: DataFrame, text: str, reach: int = REACH, support: in
     # entities seen in c texts: what P(e) is measured by
     held = spans.select("_mark", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = pairs.join(held, "entity")
+    # a term stands in at least as many texts as it has texts near any entity, which rules out the common words here
+    around = near.select("_mark", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    pairs = pairs.join(around, "term").where(F.col("c") >= F.col("n_near") * certain)
     best = materialise(pairs.groupBy("term").agg(F.max(F.struct("c", (-F.col("n_entity")).alias("rare"))).alias("m")).select("term", "m.c", (-F.col("m.rare")).alias("n_entity")))
     if best.isEmpty():
         return best.select("term", F.lit(0.0).alias("bits"))
