@@ -22,8 +22,8 @@ counts as the empty text. Without training tokens every c is 0. Repeated rows ar
 
 from __future__ import annotations
 
-import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,9 @@ FEW_CONTEXTS, FEW_PAIRS = 10, 2  # least counts in a small corpus, where the sha
 DIVERGENCE = 0.02
 SMOOTHING = 2.0  # tokens of the suffix's distribution added to a state's counts
 FOLDS, HELD_OUT = 5, 1
-PART_BYTES = 24 << 20
-FLUSH = 4_000_000  # counted pairs a task holds before it hands them on
+PART_BYTES = 12 << 20
+FLUSH = 2_000_000  # counted pairs a task holds before it hands them on
+CHUNK = 1 << 18  # tokens worked on at once, but whole texts
 END = xxh64_intdigest(b"\n")  # no word has a line end in it
 
 CODES = "part long, keys array<{key}>, held array<boolean>, lengths array<int>, words array<long>, counts array<long>, tokens binary"
@@ -103,12 +104,34 @@ def _arrow(df: DataFrame) -> pa.DataType:
     return to_arrow_type(df.schema["key"].dataType)
 
 
-def sequences(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A part's tokens, the position in its text of each, and whether it is held out."""
-    tokens = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
-    lengths = np.array(row["lengths"], np.int64)
-    place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return tokens, place, np.repeat(np.array(row["held"], bool), lengths)
+class Row:
+    """A part read back, as arrays over Arrow's own memory."""
+
+    def __init__(self, columns: dict[str, pa.Array]):
+        flat = {n: c.flatten() for n, c in columns.items() if pa.types.is_list(c.type)}
+        self.keys = flat.get("keys")
+        self.held = flat["held"].to_numpy(zero_copy_only=False)
+        self.lengths = flat["lengths"].to_numpy().astype(np.int64)
+        self.words = flat["words"].to_numpy()
+        self.counts = flat["counts"].to_numpy() if "counts" in flat else None
+        self.tokens = np.frombuffer(columns["tokens"][0].as_buffer(), np.uint32)
+
+    def chunks(self, limit: int = CHUNK):
+        """(first text, last text, tokens, position in its text of each) for runs of whole texts of about ``limit`` tokens."""
+        ends = np.cumsum(self.lengths)
+        first = 0
+        while first < len(ends):
+            begin = int(ends[first] - self.lengths[first])
+            last = max(first + 1, int(np.searchsorted(ends, begin + limit, "right")))
+            lengths = self.lengths[first:last]
+            tokens = self.tokens[begin : int(ends[last - 1])].astype(np.int64)
+            yield first, last, tokens, np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            first = last
+
+
+def rows_of(batch) -> Iterator[Row]:
+    for i in range(batch.num_rows):
+        yield Row({n: batch.column(n).slice(i, 1) for n in batch.schema.names})
 
 
 def contexts(tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,9 +141,8 @@ def contexts(tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndar
     return before, second
 
 
-def numbered(words: list[int], known: np.ndarray) -> np.ndarray:
+def numbered(own: np.ndarray, known: np.ndarray) -> np.ndarray:
     """Per word of a part its place in the sorted array ``known``, or -1."""
-    own = np.array(words, np.int64)
     if not len(known):
         return np.full(len(own), -1)
     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
@@ -140,36 +162,43 @@ def _count(codes: DataFrame, known, states) -> DataFrame:
         keys, counts, pending = [], [], 0
 
         def flush():
-            key, at = np.unique(np.concatenate(keys), return_inverse=True)
-            n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
+            key, n = summed(np.concatenate(keys), np.concatenate(counts))
             return pa.RecordBatch.from_arrays([pa.array(key // width), pa.array(key % width), pa.array(n)], ["ctx", "sym", "n"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                tokens, place, held = sequences(row)
-                own = numbered(row["words"], words)
-                before, second = contexts(tokens, place)
-                sym, one = own[tokens], own[before]
-                ok = ~held & (sym >= 0) & (one >= 0)
-                ctx = one
-                if pairs is not None:
-                    two = np.where(second >= 0, own[second], -1)
-                    ok &= two >= 0
-                    ctx, found = _find(pairs, two * width + one)
-                    ok &= found
-                key, n = np.unique(ctx[ok] * width + sym[ok], return_counts=True)
-                keys.append(key)
-                counts.append(n)
-                pending += len(key)
-                if pending > FLUSH:
-                    yield flush()
-                    keys, counts, pending = [], [], 0
+            for row in rows_of(batch):
+                own = numbered(row.words, words)
+                for first, last, tokens, place in row.chunks():
+                    before, second = contexts(tokens, place)
+                    sym, ctx = own[tokens], own[before]
+                    ok = ~np.repeat(row.held[first:last], row.lengths[first:last]) & (sym >= 0) & (ctx >= 0)
+                    if pairs is not None:
+                        two = np.where(second >= 0, own[second], -1)
+                        ctx, found = _find(pairs, two * width + ctx)
+                        ok &= found & (two >= 0)
+                    key, n = summed(ctx[ok] * width + sym[ok])
+                    keys.append(key)
+                    counts.append(n)
+                    pending += len(key)
+                    if pending > FLUSH:
+                        yield flush()
+                        keys, counts, pending = [], [], 0
         if pending:
             yield flush()
 
     return codes.select("held", "lengths", "words", "tokens").mapInArrow(run, "ctx long, sym long, n long").groupBy("ctx", "sym").agg(F.sum("n").alias("n"))
 
 
+def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys and how often, or with what sum of counts, each occurs."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    if counts is None:
+        return keys[starts], np.diff(np.append(starts, len(keys)))
+    return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts[:0]
+
+
 def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of ``wanted`` in the sorted ``known`` and whether they are there."""
     if not len(known):
@@ -221,10 +250,11 @@ class Tree:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.n_tokens + 0.5 * (self.n_words + 1)))
 
-    def score(self, row: dict, base: np.ndarray) -> np.ndarray:
-        """log10 of every token's probability in its longest state; ``base``: the root's, per word of the part."""
-        tokens, place, _ = sequences(row)
-        own = numbered(row["words"], self.words)
+    def score(self, own: np.ndarray, tokens: np.ndarray, place: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """log10 of every token's probability in its longest state.
+
+        ``own`` are the places of the part's words among the frequent ones, ``base`` the root's log-probabilities.
+        """
         before, second = contexts(tokens, place)
         sym, one, two = own[tokens], own[before], np.where(second >= 0, own[second], -1)
         return self.climb(base[tokens], sym, one, two)
@@ -297,22 +327,25 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes:
     out = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def apply(part: pa.Table, found: pa.Table) -> pa.Table:
-        row = part.to_pylist()[0]
-        counts = np.array(row["counts"], np.int64)
+        row = Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
+        counts = row.counts.copy()
         counts[found["at"].to_numpy()] = found["c"].to_numpy()
-        base = tree.value.base(counts)
-        tokens, _, _ = sequences(row)
-        lengths = np.array(row["lengths"], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        logs = tree.value.score(row, base)
+        base, own = tree.value.base(counts), numbered(row.words, tree.value.words)
+        n_known, base_score, scores = [], [], []
+        for first, last, tokens, place in row.chunks():
+            lengths = row.lengths[first:last]
+            starts = np.cumsum(lengths) - lengths
+            n_known.append(np.add.reduceat((counts[tokens] > 0).astype(np.int64), starts))
+            base_score.append(np.add.reduceat(base[tokens], starts))
+            scores.append(np.add.reduceat(tree.value.score(own, tokens, place, base), starts))
         return pa.table({
-            key: part["keys"].combine_chunks().flatten(),
-            "held_out": pa.array(row["held"], pa.bool_()),
-            "n_tokens": lengths,
-            "n_known": np.add.reduceat((counts[tokens] > 0).astype(np.int64), starts),
-            "train_tokens": np.full(len(lengths), tree.value.n_tokens, np.int64),
-            "base_score": np.add.reduceat(base[tokens], starts),
-            "score": np.add.reduceat(logs, starts),
+            key: row.keys,
+            "held_out": pa.array(row.held, pa.bool_()),
+            "n_tokens": row.lengths,
+            "n_known": np.concatenate(n_known),
+            "train_tokens": np.full(len(row.lengths), tree.value.n_tokens, np.int64),
+            "base_score": np.concatenate(base_score),
+            "score": np.concatenate(scores),
         })
 
     return codes.groupBy("part").cogroup(places.groupBy("in_part")).applyInArrow(apply, out)
