@@ -13,7 +13,7 @@ above the root can be broadcast, with a bound that is known before. The root can
 the corpus and stays a table, joined to the words of each part of the corpus.
 
 Texts are encoded once: per part (at most ``PART_BYTES`` of text, inside one task) the different words, as 64-bit
-hashes, and the texts as numbers into that list. A word crosses the network once per part, not once per
+hashes, and the texts as numbers into that list, compressed. A word crosses the network once per part, not once per
 occurrence, so the most frequent words make no skew.
 
 Defined cases: a null or empty text is one end token. Rows are held out by their key's checksum; a null key
@@ -74,7 +74,7 @@ class Part:
         counts = np.bincount(np.concatenate(train), minlength=len(self.numbers)) if train else np.zeros(len(self.numbers), int)
         words = np.fromiter((xxh64_intdigest(w) for w in self.numbers), np.uint64, len(self.numbers)).view(np.int64)
         lengths = [len(t) for t in self.texts]
-        return {"part": part, "keys": self.keys, "held": self.held, "lengths": lengths, "words": words, "counts": counts, "tokens": np.concatenate(self.texts).tobytes()}
+        return {"part": part, "keys": self.keys, "held": self.held, "lengths": lengths, "words": words, "counts": counts, "tokens": pa.compress(np.concatenate(self.texts).tobytes(), "zstd", asbytes=True)}
 
 
 def encode(docs: DataFrame, key: str, text: str, part_bytes: int) -> DataFrame:
@@ -114,7 +114,8 @@ class Row:
         self.lengths = flat["lengths"].to_numpy().astype(np.int64)
         self.words = flat["words"].to_numpy()
         self.counts = flat["counts"].to_numpy() if "counts" in flat else None
-        self.tokens = np.frombuffer(columns["tokens"][0].as_buffer(), np.uint32)
+        size = int(self.lengths.sum()) * 4
+        self.tokens = np.frombuffer(pa.decompress(columns["tokens"][0].as_buffer(), size, "zstd"), np.uint32)
 
     def chunks(self, limit: int = CHUNK):
         """(first text, last text, tokens, position in its text of each) for runs of whole texts of about ``limit`` tokens."""
