@@ -225,17 +225,16 @@ def grow(ctx: np.ndarray, sym: np.ndarray, n: np.ndarray, totals: np.ndarray, su
     ``suffix`` the successors' probabilities in the suffix state, ``codes`` the candidates' names as contexts.
     """
     size = len(totals)
-    kept = np.bincount(ctx, n, size)
-    below = np.bincount(ctx, suffix, size)
+    kept, below = (np.bincount(ctx, x, size).astype(float) for x in (n, suffix))  # of nothing, bincount gives integers
     total = np.maximum(totals.astype(float), 1.0)
     rest = np.maximum(totals - kept, 0.0)
     share = n / total[ctx]
-    gain = np.bincount(ctx, share * np.log(share / suffix), size)
+    gain = np.bincount(ctx, share * np.log(share / suffix), size).astype(float)
     other = np.maximum(1.0 - below, 1e-12)
     gain += np.where(rest > 0, rest / total * np.log(np.maximum(rest / total, 1e-300) / other), 0.0)
     stays = (totals > 0) & (gain >= divergence)
     smooth = (n + SMOOTHING * suffix) / (total[ctx] + SMOOTHING)
-    mass = np.bincount(ctx, smooth, size)
+    mass = np.bincount(ctx, smooth, size).astype(float)
     weight = np.maximum(1.0 - mass, 1e-12) / other
     place = np.cumsum(stays) - 1
     on = stays[ctx]
