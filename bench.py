@@ -12,7 +12,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from haulyard.catalog.queries import QUERIES
-from haulyard.session import build_session
+from haulyard.session import build_session, release
 
 HEADLINE = [
     "bookings_clean",
@@ -63,6 +63,7 @@ def main() -> None:
     seconds(spark, "status_breakdown", folder)
     times = {n: round(min(seconds(spark, n, folder) for _ in range(runs)), 3) for n in names}
     line = {"metric": "headline query seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times}
+    release(spark)
     print(json.dumps(line | {"sf": folder.rstrip("/").rsplit("sf", 1)[-1], "cpus": int(cpus)}))
     spark.stop()
 

@@ -121,10 +121,14 @@ def iot_of(events: DataFrame) -> DataFrame:
 
 
 def weather(spark: SparkSession, folder: str) -> DataFrame:
-    """One weather reading per event."""
+    return weather_of(table(spark, folder, "events"))
+
+
+def weather_of(events: DataFrame) -> DataFrame:
+    """One weather reading per event (batch or stream)."""
     conditions = ", ".join(f"'{c}'" for c in CONDITION_RISK)
     risks = ", ".join(f"{r}D" for r in CONDITION_RISK.values())
-    return table(spark, folder, "events").selectExpr(
+    return events.selectExpr(
         "event_id",
         f"lower({_city_of('event_id')}) AS city",
         "CAST(ts AS TIMESTAMP) AS timestamp",
@@ -143,4 +147,8 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 
 def metric_events(spark: SparkSession, folder: str) -> DataFrame:
     """Long metric table (ts, metric, value): the event type is the metric."""
-    return table(spark, folder, "events").selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_type AS metric", "value")
+    return metrics_of(table(spark, folder, "events"))
+
+
+def metrics_of(events: DataFrame) -> DataFrame:
+    return events.selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_type AS metric", "value")

@@ -317,7 +317,7 @@ THREE_AVGS = f"""{rnd("avg(speed_kmh)", 2)} AS avg_speed, {rnd("avg(fuel_level_p
 ORACLES["tier_breakdown"] = f"WITH {IOT_FEAT} SELECT vehicle_tier, count(vehicle_id) AS reading_count, {THREE_AVGS} FROM iot_feat GROUP BY vehicle_tier"
 ORACLES["speed_distribution"] = f"WITH {IOT_FEAT} SELECT speed_category, count(*) AS reading_count FROM iot_feat GROUP BY 1"
 ORACLES["vehicle_summary"] = f"""WITH {IOT_FEAT} SELECT vehicle_id, min(vehicle_tier) AS tier, {THREE_AVGS}, count(speed_kmh) AS total_readings
-  FROM iot_feat GROUP BY vehicle_id ORDER BY vehicle_id LIMIT 50"""
+  FROM iot_feat GROUP BY vehicle_id"""
 ORACLES["tier_performance"] = f"""WITH {IOT_FEAT} SELECT vehicle_tier, count(vehicle_id) AS total_readings, {THREE_AVGS},
   {rnd("avg(fuel_efficiency_kmpl)", 2)} AS avg_efficiency, count(DISTINCT vehicle_id) AS vehicle_count,
   CASE vehicle_tier WHEN 'OLD' THEN 9e0 WHEN 'MID' THEN 5e0 WHEN 'NEW' THEN 2e0 END AS anomaly_rate_pct,
@@ -390,10 +390,10 @@ ORACLES["kpi_summary"] = f"""WITH {IOT_FLAG}, {BK_LARGE}, fk AS ({FLEET} FROM fl
 ORACLES["fleet_extract"] = f"""WITH {IOT_FEAT} SELECT vehicle_id, vehicle_tier, speed_kmh, fuel_level_pct, fuel_efficiency_kmpl, engine_health_score,
     cargo_weight_kg, engine_rpm, speed_category, fuel_status, CASE WHEN speed_kmh > 100 THEN 1 ELSE 0 END AS is_anomaly,
     CASE WHEN speed_kmh > 110 THEN 'CRITICAL' WHEN speed_kmh > 100 THEN 'WARNING' ELSE 'NONE' END AS alert_severity
-  FROM iot_feat ORDER BY md5('42:' || event_id), event_id LIMIT 10000"""
+  FROM iot_feat"""
 ORACLES["delivery_extract"] = f"""WITH {BK_LARGE} SELECT booking_id, origin_city, destination_city, cargo_type, delivery_status, priority, distance_km,
     freight_charge_inr, cargo_weight_kg, cargo_value_inr, is_delayed, is_express, is_long_haul
-  FROM large ORDER BY md5('42:' || booking_id), booking_id LIMIT 10000"""
+  FROM large"""
 
 # ---- quality -----------------------------------------------------------------------------
 
@@ -498,8 +498,8 @@ ORACLES["contamination_cut"] = f"""WITH {IOT_FEAT}, s AS (SELECT event_id, vehic
 SERIES = f"""SELECT event_type AS metric, time_bucket(INTERVAL 300 SECONDS, ts) AS period_start, {rnd("avg(value)", 6)} AS average,
   {rnd("sum(value)", 6)} AS total, count(value) AS samples FROM events GROUP BY 1, 2"""
 ORACLES["metric_series"] = SERIES
-ORACLES["stream_fleet_metrics"] = f"""WITH s AS ({SERIES})
-  SELECT * FROM s WHERE period_start + INTERVAL 300 SECONDS <= (SELECT max(ts) - INTERVAL 600 SECONDS FROM events)"""
+ORACLES["stream_fleet_metrics"] = SERIES
+ORACLES["stream_weather_features"] = ORACLES["weather_features"]
 ORACLES["alarm_states"] = f"""WITH rules(alarm, metric, op, threshold, stat, period, periods, missing) AS (VALUES
     ('Click-Low', 'click', '<', 20e0, 'Average', 300, 2, false), ('View-High', 'view', '>', 30e0, 'Average', 300, 2, false),
     ('Error-Missing', 'error', '<', 5e0, 'Average', 300, 1, true), ('Signup-Low', 'signup', '<', 18e0, 'Average', 3600, 1, false),
@@ -524,7 +524,7 @@ ORACLES["published_metrics"] = f"""WITH {IOT_FLAG}, {BK_LARGE}, fk AS ({FLEET} F
     SELECT 'RecordsIngested', CAST(count(*) AS DOUBLE), 'Count', 'Pipeline=Ingestion' FROM bk
     UNION ALL SELECT 'IngestionSuccessRate', {rnd("count(booking_id) * 1e2 / count(*)", 1)}, 'Percent', 'Pipeline=Ingestion' FROM bk
     UNION ALL SELECT 'RecordsProcessed', CAST(count(*) AS DOUBLE), 'Count', 'Pipeline=ETL' FROM large
-    UNION ALL SELECT 'ETLSuccessRate', CASE WHEN count(*) > 0 THEN 1e2 ELSE 0e0 END, 'Percent', 'Pipeline=ETL' FROM large
+    UNION ALL SELECT 'ETLSuccessRate', {rnd("count(*) * 1e2 / (SELECT count(*) FROM bk)", 1)}, 'Percent', 'Pipeline=ETL' FROM large
     UNION ALL SELECT 'AnomaliesDetected', CAST(anomaly AS DOUBLE), 'Count', 'Pipeline=ML' FROM fh
     UNION ALL SELECT 'FleetHealthScore', healthy_pct, 'Percent', 'Fleet=Fleet' FROM fh
     UNION ALL SELECT 'ActiveVehicles', CAST(total_vehicles AS DOUBLE), 'Count', 'Fleet=Fleet' FROM fk

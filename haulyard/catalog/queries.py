@@ -665,9 +665,23 @@ def _finished(spark, stream: DataFrame) -> DataFrame:
 
 @query
 def stream_fleet_metrics(spark, folder):
-    events = feeds.parquet_stream(spark, folder, "events.parquet")
-    metric = events.selectExpr("CAST(ts AS TIMESTAMP) AS ts", "event_type AS metric", "value")
-    return shown(_finished(spark, feeds.fleet_metrics(metric)))
+    """All that has landed, then the end mark, which brings out the windows still open."""
+    path = scratch_path(spark)
+    metric = feeds.ending(spark, B.metrics_of(feeds.parquet_stream(spark, folder, "events.parquet")), f"{path}/end")
+    windows = feeds.fleet_metrics(metric)
+    feeds.parquet_sink(windows, f"{path}/rows", f"{path}/state").awaitTermination()
+    feeds.end_stream(spark, metric, f"{path}/end")
+    feeds.parquet_sink(windows, f"{path}/rows", f"{path}/state").awaitTermination()
+    return shown(spark.read.schema(windows.schema).parquet(f"{path}/rows"))
+
+
+@query
+def stream_weather_features(spark, folder):
+    """Streamed weather with the medians of a batch snapshot."""
+    batch = B.weather(spark, folder)
+    medians = impute.fit_medians(batch, weather.numeric_columns(batch))
+    stream = B.weather_of(feeds.parquet_stream(spark, folder, "events.parquet"))
+    return shown(_finished(spark, feeds.weather_features(stream, medians)))
 
 
 @query
@@ -681,8 +695,9 @@ def stream_iot_features(spark, folder):
 @query
 def stream_iot_enriched(spark, folder):
     summary = enrich.weather_by_city(featured_weather(spark, folder))
+    medians = impute.fit_medians(B.iot(spark, folder), iot.numeric_columns(B.iot(spark, folder), "full"))
     stream = B.iot_of(feeds.parquet_stream(spark, folder, "events.parquet"))
-    joined = feeds.enriched_iot(feeds.iot_features(stream, {}), summary)
+    joined = feeds.enriched_iot(feeds.iot_features(stream, medians), summary)
     return shown(_rounded_doubles(_finished(spark, joined), IOT_MEANS))
 
 

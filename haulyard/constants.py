@@ -117,3 +117,35 @@ ALARM_RULES = [
     ("MLModel-Degraded", "ModelAUCScore", "<", 60.0, "Average", 3600, 1, "notBreaching"),
     ("Anomaly-Spike", "AnomaliesDetected", ">", 60000.0, "Sum", 300, 2, "notBreaching"),
 ]
+
+# --- fixed values: columns of the dashboard extracts ---------------------------------------
+FLEET_EXTRACT = [
+    "vehicle_id",
+    "vehicle_tier",
+    "driver_name",
+    "route",
+    "speed_kmh",
+    "fuel_level_pct",
+    "fuel_efficiency_kmpl",
+    "engine_health_score",
+    "cargo_weight_kg",
+    "engine_rpm",
+    "speed_category",
+    "fuel_status",
+    "is_night_shift",
+]
+DELIVERY_EXTRACT = [
+    "booking_id",
+    "origin_city",
+    "destination_city",
+    "cargo_type",
+    "delivery_status",
+    "priority",
+    "distance_km",
+    "freight_charge_inr",
+    "cargo_weight_kg",
+    "cargo_value_inr",
+    "is_delayed",
+    "is_express",
+    "is_long_haul",
+]

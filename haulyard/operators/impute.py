@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 from haulyard.functions.columns import number
 from haulyard.operators.quantiles import exact_quantiles, quantile_frame
+from haulyard.session import materialise
 
 
 def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact median of every column that has missing values.
 
-    Missing values are counted first, in one cheap pass: columns without any need no median.
+    The numbers are stored first, so ``df`` itself is read once however many passes the medians take.
+    Missing values are counted next: columns without any need no median.
     """
     columns = list(columns)
     if not columns:
         return {}
-    values = df.select(*[number(c).alias(c) for c in columns])
+    values = materialise(df.select(*[number(c).alias(c) for c in columns]))
     wanted = _with_gaps(values, columns)
     if not wanted:
         return {}
@@ -49,10 +51,11 @@ def fill_group_medians(df: DataFrame, columns: Sequence[str], by: str) -> DataFr
     """Fill gaps with the median of the row's group; rows without a group stay as they are."""
     columns = list(columns)
     values = df.withColumns({c: number(c) for c in columns})
-    wanted = _with_gaps(values, columns) if columns else []
+    stored = materialise(values.select(by, *[c for c in columns if c != by])) if columns else values
+    wanted = _with_gaps(stored, columns) if columns else []
     if not wanted:
         return values
-    medians = quantile_frame(values, wanted, [0.5], by)
+    medians = quantile_frame(stored, wanted, [0.5], by)
     medians = medians.select(by, *[F.col(c)[0].alias(f"_median_{c}") for c in wanted])
     joined = values.join(medians, by, "left")
     kept = [F.coalesce(F.col(c), F.col(f"_median_{c}")).alias(c) if c in wanted else F.col(c) for c in df.columns]

@@ -8,7 +8,8 @@ The built-in exact percentile keeps a map of all distinct values in one task. He
 3. the few distinct values left are counted and the wanted ranks are read off.
 
 Every step is one aggregation with partial sums, so it shuffles a few rows per task, and the driver
-sees bounded results only. A column with few distinct values is done after step 1.
+sees bounded results only. A column with few distinct values is done after step 1. Infinite values are
+values like any other.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACCURACY = 1000  # rank error of the sketch: 1/ACCURACY of the rows
 MARGIN = 2 / ACCURACY
@@ -27,6 +29,7 @@ TASK_GROUPS = 256
 STEPS = 1024
 MAX_LISTED = 50_000  # distinct values listed per (group, column, quantile)
 MAX_GROUPS = 1_000
+LISTED_GROUP = 20_000  # rows of a group that one aggregate may list
 
 
 class Step(NamedTuple):
@@ -128,17 +131,38 @@ def _enclose(source: DataFrame, columns: list[str], probs: Sequence[float], by:
 
 
 def quantile_frame(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str) -> DataFrame:
-    """The same quantiles as a join side (group, array per column), for any number of groups.
+    """The same quantiles as a join side (group, array per column), for any number of groups and rows in them.
 
-    Beyond MAX_GROUPS groups the built-in exact percentile serves, spread over the groups.
+    Groups of at most LISTED_GROUP rows are sorted inside one aggregate each. Larger ones, of which there
+    can be no more than the rows divided by that, go through ``exact_quantiles``, MAX_GROUPS at a time.
+    Both read the same ranks and interpolate alike.
     """
-    found = exact_quantiles(df, columns, probs, by)
-    if found is not None:
-        schema = ", ".join([f"{by} string", *[f"{c} array<double>" for c in columns]])
-        rows = [(group, *[values[c] for c in columns]) for group, values in found.items()]
-        return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    aggs = [F.percentile(F.col(c).cast("double"), [float(p) for p in probs]).alias(c) for c in columns]
-    return df.where(F.col(by).isNotNull()).groupBy(by).agg(*aggs)
+    columns = list(columns)
+    spark = df.sparkSession
+    source = df.where(F.col(by).isNotNull()).select(F.col(by), *[F.col(c).cast("double").alias(c) for c in columns])
+    sizes = source.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    large = [r[by] for r in sizes.where(F.col("_n") > LISTED_GROUP).select(by).toLocalIterator()]
+    names = spark.createDataFrame([(g,) for g in large], df.select(by).schema)
+    small = source.join(names, by, "left_anti") if large else source
+    lists = small.groupBy(by).agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns])
+    out = lists.select(by, *[_of_sorted(c, probs).alias(c) for c in columns])
+    for at in range(0, len(large), MAX_GROUPS):
+        block = large[at : at + MAX_GROUPS]
+        found = exact_quantiles(source.where(F.col(by).isin(block)), columns, probs, by)
+        schema = T.StructType([df.schema[by], *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in columns]])
+        out = out.unionByName(spark.createDataFrame([(g, *[v[c] for c in columns]) for g, v in found.items()], schema))
+    return out
+
+
+def _of_sorted(values: str, probs: Sequence[float]) -> Column:
+    """The quantiles of a sorted array, as ``_between`` reads them."""
+    items = []
+    for prob in probs:
+        rank = (F.size(values) - 1) * F.lit(float(prob))
+        low, high = (F.get(F.col(values), f(rank).cast("int")) for f in (F.floor, F.ceil))
+        share = rank - F.floor(rank)
+        items.append(F.when((low == high) | (share == 0), low).otherwise(low + (high - low) * share))
+    return F.array(*items)
 
 
 def _inside(source: DataFrame, columns: list[str], by: str | None, items: dict) -> DataFrame:
@@ -161,10 +185,12 @@ def _inside(source: DataFrame, columns: list[str], by: str | None, items: dict)
 
 def _step_counts(source: DataFrame, columns: list[str], by: str | None, items: dict) -> dict:
     """Per item the steps that hold values, in order."""
-    position = (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(float(STEPS))
-    step = F.when(F.col("_value") < F.col("_low"), F.lit(-1)).otherwise(
-        F.least(position.cast("int"), F.lit(STEPS - 1))
-    )
+    value, low, high = F.col("_value"), F.col("_low"), F.col("_high")
+    position = (value - low) / (high - low) * F.lit(float(STEPS))
+    # an interval with an infinite end is first cut into its infinite and its finite values
+    endless = (low == F.lit(float("-inf"))) | (high == F.lit(float("inf")))
+    ends = F.when(value == F.lit(float("-inf")), 0).when(value == F.lit(float("inf")), 2).otherwise(1)
+    step = F.when(value < low, -1).when(endless, ends).otherwise(F.least(position.cast("int"), F.lit(STEPS - 1)))
     rows = (
         _inside(source, columns, by, items)
         .groupBy("_item", step.alias("_step"))
@@ -222,4 +248,6 @@ def _interpolate(below: int, values: list, rank: float) -> float:
 
 
 def _between(low: float, high: float, rank: float) -> float:
-    return low + (high - low) * (rank - math.floor(rank))
+    """Linear between two neighbours; equal ones, infinite ones too, are their own answer."""
+    share = rank - math.floor(rank)
+    return low if low == high or not share else low + (high - low) * share

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulyard.operators import encode
 from haulyard.plans import alarms, anomaly, bookings, enrich, iot, kpis, models, quality, reports, weather
 from haulyard.schemas import BOOKING_DEFAULTS, BOOKINGS, IOT, WEATHER, text_schema
 from haulyard.session import materialise
@@ -46,7 +47,7 @@ def enrichment(spark: SparkSession, iot_folder: str, bookings_folder: str, weath
     writers.dated_parquet(enrich.enrich_bookings(orders, enrich.weather_by_origin(wx)), f"{out}/bookings-enriched")
 
 
-def large_etl(spark: SparkSession, bookings_raw: str, iot_raw: str, out: str, max_chunks: int | None = 60) -> DataFrame:
+def large_etl(spark: SparkSession, bookings_raw: str, iot_raw: str, out: str, max_chunks: int | None = None) -> DataFrame:
     """CSV chunks of both large feeds to row-bounded parquet files; returns the status shares."""
     orders = materialise(readers.csv_chunks(spark, bookings_raw, text_schema(BOOKINGS), max_chunks))
     orders = bookings.features(bookings.clean(orders, "large"), "large")
@@ -68,7 +69,7 @@ def dashboard_extracts(iot_table: DataFrame, bookings_table: DataFrame, summary:
     writers.csv_extract(kpis.fleet_extract(iot_table, list(iot_keys)), f"{out}/fleet_performance")
     writers.csv_extract(kpis.delivery_extract(bookings_table, ["booking_id"]), f"{out}/delivery_analytics")
     writers.csv_extract(summary, f"{out}/kpi_summary", single=True)
-    writers.csv_extract(kpis.route_analysis(bookings_table), f"{out}/route_analysis", single=True)
+    writers.csv_extract(kpis.route_analysis(bookings_table), f"{out}/route_analysis")
     writers.csv_extract(kpis.tier_performance(iot_table), f"{out}/tier_performance", single=True)
 
 
@@ -82,10 +83,11 @@ def anomaly_run(iot_table: DataFrame, out: str, trees: int = anomaly.TREES) -> D
 
 def model_run(bookings_table: DataFrame, out: str, settings: models.Settings = models.Settings()) -> DataFrame:
     """Train, compare, keep the best model and the report; returns the results per model."""
-    trained = models.train(models.delay_features(bookings_table), ["booking_id"], settings)
+    codes = materialise(encode.label_codes(models.delay_features(bookings_table, encode_categories=False), models.DELAY_CATEGORIES))
+    trained = models.train(models.delay_features(bookings_table, codes=codes), ["booking_id"], settings)
     results = materialise(models.evaluate(trained, settings))
-    models.save_best(trained, results, out)
-    writers.json_document(reports.ml_report(results), f"{out}/report")
+    models.save_best(trained, results, out, codes, settings.threshold)
+    writers.json_document(reports.ml_report(results, settings.threshold), f"{out}/report")
     return results
 
 

@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,12 +77,6 @@ def split_and_balance(features: DataFrame, keys: list[str], settings: Settings)
     return train_part, stored.where("is_test")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Tree growing passes over its rows many times: a table of few files is dealt out to all cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _vectors(df: DataFrame, scaler: dict) -> DataFrame:
     """Add the model columns as they are ('plain') and scaled ('scaled')."""
     both = scaling.scale(df, DELAY_FEATURES, scaler, suffix="_z")
@@ -111,7 +105,9 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
         }
     )
     kept = ["target", "is_validation", "positive_weight", "balanced_weight"]
-    fit_part = _spread(_vectors(weighted, out.scaler).select(*kept, "plain", "scaled"))
+    # tree growing passes over its rows many times: a table of few files is dealt out to all tasks
+    tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fit_part = _vectors(weighted, out.scaler).select(*kept, "plain", "scaled").repartition(tasks)
     test_part = _vectors(test_part, out.scaler).select(*keys, "target", "plain", "scaled")
     boosted = dict(
         featuresCol="scaled",
@@ -168,17 +164,22 @@ def feature_importance(spark: SparkSession, model, limit: int = 8) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature").limit(limit)
 
 
-def save_best(trained: Trained, results: DataFrame, folder: str) -> dict:
-    """Persist the chosen model with its assembler, the scaler and a metadata record."""
+def save_best(trained: Trained, results: DataFrame, folder: str, codes: DataFrame | None = None, threshold: float = DECISION_THRESHOLD) -> dict:
+    """Persist the chosen model as a pipeline with its scaler and assembler, the label codes, and a metadata record.
+
+    ``codes`` (column, label, code) are the ones the features were made with; ``score_bookings`` needs them.
+    """
     spark = results.sparkSession
     best = metrics.select_best(results).first()
     scaled = best["model"] != "Random Forest"
     columns = [f"{c}_z" for c in DELAY_FEATURES] if scaled else DELAY_FEATURES
     assembler = VectorAssembler(inputCols=columns, outputCol="scaled" if scaled else "plain")
-    PipelineModel([assembler, trained.models[best["model"]]]).write().overwrite().save(f"{folder}/best_model")
+    PipelineModel([_scaling_stage(trained.scaler), assembler, trained.models[best["model"]]]).write().overwrite().save(f"{folder}/best_model")
+    if codes is not None:
+        codes.write.mode("overwrite").parquet(f"{folder}/label_codes")
     metadata = {
         "best_model_name": best["model"],
-        "threshold": DECISION_THRESHOLD,
+        "threshold": threshold,
         "feature_cols": DELAY_FEATURES,
         "accuracy": best["accuracy_pct"],
         "auc": best["auc_pct"],
@@ -189,3 +190,22 @@ def save_best(trained: Trained, results: DataFrame, folder: str) -> dict:
     record = spark.createDataFrame([(json.dumps(metadata),)], "value string")
     record.coalesce(1).write.mode("overwrite").text(f"{folder}/model_metadata")
     return metadata
+
+
+def _scaling_stage(scaler: dict) -> SQLTransformer:
+    """The fitted scaling as a stage that is saved with the model."""
+    scaled = (f"(CAST(`{c}` AS DOUBLE) - {mean!r}D) / {dev or 1.0!r}D AS `{c}_z`" for c, (mean, dev) in scaler.items())
+    return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
+
+def score_bookings(bookings: DataFrame, folder: str) -> DataFrame:
+    """Plain bookings with the saved model's delay probability and verdict."""
+    spark = bookings.sparkSession
+    record = json.loads(spark.read.text(f"{folder}/model_metadata").first()["value"])
+    codes = spark.read.parquet(f"{folder}/label_codes")
+    ready = delay_features(bookings, codes=codes)
+    scored = PipelineModel.load(f"{folder}/best_model").transform(ready)
+    probability = vector_to_array("probability")[1]
+    return scored.withColumns({"delay_probability": probability, "delay_predicted": flag(probability >= record["threshold"])}).select(
+        *bookings.columns, "delay_probability", "delay_predicted"
+    )

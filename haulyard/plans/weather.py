@@ -40,8 +40,12 @@ LIMITS = {
 }
 
 
+def numeric_columns(df: DataFrame) -> list[str]:
+    return has(df, NUMERIC)
+
+
 def normalise(df: DataFrame, medians: dict | None = None) -> DataFrame:
-    numeric = has(df, NUMERIC)
+    numeric = numeric_columns(df)
     if medians is None:
         medians = fit_medians(df, numeric)
     columns: dict[str, Column] = {c: filled(c, medians) for c in numeric}

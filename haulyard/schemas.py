@@ -6,35 +6,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {
-    "s": T.StringType(),
-    "d": T.DoubleType(),
-    "i": T.IntegerType(),
-    "t": T.TimestampType(),
-    "b": T.BooleanType(),
-}
+STRING, DOUBLE, INT, TIMESTAMP, BOOLEAN = T.StringType(), T.DoubleType(), T.IntegerType(), T.TimestampType(), T.BooleanType()
 
 
-def _schema(spec: str) -> T.StructType:
-    return T.StructType([T.StructField(n, _TYPES[k]) for n, k in (item.split(":") for item in spec.split())])
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-BOOKINGS = _schema(
-    "booking_id:s customer_name:s origin_city:s destination_city:s cargo_type:s cargo_weight_kg:d "
-    "cargo_value_inr:d assigned_vehicle_id:s booking_timestamp:t estimated_delivery:t delivery_status:s "
-    "distance_km:d freight_charge_inr:d priority:s is_insured:b origin_weather:s origin_delay_risk:d "
-    "origin_has_severe:i"
+# Columns and types of the three sources.
+BOOKINGS = _struct(
+    booking_id=STRING,
+    customer_name=STRING,
+    origin_city=STRING,
+    destination_city=STRING,
+    cargo_type=STRING,
+    cargo_weight_kg=DOUBLE,
+    cargo_value_inr=DOUBLE,
+    assigned_vehicle_id=STRING,
+    booking_timestamp=TIMESTAMP,
+    estimated_delivery=TIMESTAMP,
+    delivery_status=STRING,
+    distance_km=DOUBLE,
+    freight_charge_inr=DOUBLE,
+    priority=STRING,
+    is_insured=BOOLEAN,
+    origin_weather=STRING,
+    origin_delay_risk=DOUBLE,
+    origin_has_severe=INT,
 )
-IOT = _schema(
-    "vehicle_id:s vehicle_tier:s driver_name:s route:s route_distance_km:d timestamp:t hour_of_day:i "
-    "is_night_shift:i gps_latitude:d gps_longitude:d speed_kmh:d fuel_level_pct:d fuel_consumed_L:d "
-    "engine_temp_C:d engine_rpm:d odometer_km:d battery_voltage:d tyre_pressure_psi:d cargo_weight_kg:d "
-    "brake_status:s ignition_status:s alert_flag:b"
+IOT = _struct(
+    vehicle_id=STRING,
+    vehicle_tier=STRING,
+    driver_name=STRING,
+    route=STRING,
+    route_distance_km=DOUBLE,
+    timestamp=TIMESTAMP,
+    hour_of_day=INT,
+    is_night_shift=INT,
+    gps_latitude=DOUBLE,
+    gps_longitude=DOUBLE,
+    speed_kmh=DOUBLE,
+    fuel_level_pct=DOUBLE,
+    fuel_consumed_L=DOUBLE,
+    engine_temp_C=DOUBLE,
+    engine_rpm=DOUBLE,
+    odometer_km=DOUBLE,
+    battery_voltage=DOUBLE,
+    tyre_pressure_psi=DOUBLE,
+    cargo_weight_kg=DOUBLE,
+    brake_status=STRING,
+    ignition_status=STRING,
+    alert_flag=BOOLEAN,
 )
-WEATHER = _schema(
-    "city:s latitude:d longitude:d timestamp:t weather_condition:s temperature_C:d humidity_pct:d "
-    "wind_speed_kmh:d wind_direction:s rainfall_mm:d visibility_km:d road_condition:s fog_alert:b "
-    "flood_alert:b delay_risk_score:d traffic_congestion:d usd_inr_rate:d data_source:s"
+WEATHER = _struct(
+    city=STRING,
+    latitude=DOUBLE,
+    longitude=DOUBLE,
+    timestamp=TIMESTAMP,
+    weather_condition=STRING,
+    temperature_C=DOUBLE,
+    humidity_pct=DOUBLE,
+    wind_speed_kmh=DOUBLE,
+    wind_direction=STRING,
+    rainfall_mm=DOUBLE,
+    visibility_km=DOUBLE,
+    road_condition=STRING,
+    fog_alert=BOOLEAN,
+    flood_alert=BOOLEAN,
+    delay_risk_score=DOUBLE,
+    traffic_congestion=DOUBLE,
+    usd_inr_rate=DOUBLE,
+    data_source=STRING,
 )
 
 # What a bookings feed without these columns is given.

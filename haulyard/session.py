@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_folders: dict[str, str] = {}  # of local sessions without the setting, by application
+
 
 def build_session(app: str = "haulyard", master: str | None = None, **conf) -> SparkSession:
     """A session with UTC timestamps and adaptive execution; ANSI stays on.
@@ -40,9 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="haulyard-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="haulyard-")
+    return _own_folders[application]
 
 
 def scratch_path(spark: SparkSession) -> str:
@@ -61,3 +64,9 @@ def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     path = scratch_path(df.sparkSession)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's tables in the shared folder. Frames that read them can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/haulyard/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

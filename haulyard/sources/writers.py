@@ -13,17 +13,19 @@ def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("processed_at", F.current_timestamp())
 
 
-def dated_parquet(df: DataFrame, folder: str, mode: str = "append", moment: str | None = None) -> None:
+def dated_parquet(df: DataFrame, folder: str, mode: str = "append", moment: str | None = None, tasks_a_day: int | None = None) -> None:
     """Snappy parquet under year=/month=/day= of the run (or of the timestamp column ``moment``).
 
     Run-dated rows go to one folder as they are, with no shuffle. Rows dated by a column are first
-    gathered by day and a salt: a busy day spreads over tasks, and tasks do not each open every day.
+    gathered by day and a salt: a busy day spreads over tasks (by default as many as the session's shuffle
+    partitions), and tasks do not each open every day.
     """
     out = df if "processed_at" in df.columns else stamped(df)
     at = F.col(moment) if moment else F.current_timestamp()
     out = out.withColumns({"year": F.year(at), "month": F.date_format(at, "MM"), "day": F.date_format(at, "dd")})
     if moment:
-        out = out.repartition("year", "month", "day", F.pmod(F.xxhash64(*df.columns), F.lit(16)))
+        salts = tasks_a_day or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition("year", "month", "day", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
     out.write.mode(mode).partitionBy("year", "month", "day").option("compression", "snappy").parquet(folder)
 
 

@@ -11,12 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from haulyard.functions.columns import rounded
 from haulyard.plans import enrich, iot, weather
+from haulyard.schemas import text_schema
 
 
 def json_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    """New JSON files below ``folder`` as they land."""
-    reader = spark.readStream.schema(schema).option("multiLine", True).option("recursiveFileLookup", True)
-    return reader.option("maxFilesPerTrigger", files_per_batch).json(folder)
+    """New JSON files below ``folder`` as they land, values as text like the batch reader's."""
+    reader = spark.readStream.schema(text_schema(schema)).option("multiLine", True).option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_batch).json(folder)
 
 
 def parquet_stream(spark: SparkSession, folder: str, glob: str) -> DataFrame:
@@ -60,6 +61,22 @@ def fleet_metrics(stream: DataFrame, period: str = "5 minutes", lateness: str =
     )
 
 
+def ending(spark: SparkSession, stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` (ts, metric, value) together with the end mark that ``end_stream`` may put into ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder))
+
+
+def end_stream(spark: SparkSession, stream: DataFrame, folder: str) -> None:
+    """A row later than all others, without a metric: the next run closes every window before it.
+
+    For feeds that have really ended: rows that come after it are late.
+    """
+    end = spark.sql("SELECT TIMESTAMP'9999-01-01 00:00:00' AS ts, CAST(NULL AS STRING) AS metric, CAST(NULL AS DOUBLE) AS value")
+    end.select(*[F.col(f.name).cast(f.dataType) for f in stream.schema]).coalesce(1).write.mode("append").parquet(folder)
+
+
 def enriched_iot(stream: DataFrame, summary: DataFrame) -> DataFrame:
     """Streamed readings with the static weather summary of their nearest city."""
     return enrich.enrich_iot(stream, summary)

@@ -97,12 +97,13 @@ def test_large_and_sql_runs(spark, data, tmp_path):
 def test_typed_csv_fallback_gets_defaults(spark, tmp_path):
     (tmp_path / "f.csv").write_text("booking_id,distance_km\nb1,bad\n")
     row = readers.typed_csv(spark, f"{tmp_path}/absent", BOOKINGS, f"{tmp_path}/f.csv", BOOKING_DEFAULTS).first()
-    assert (row["distance_km"], row["origin_weather"], row["is_insured"], row["origin_has_severe"]) == (None, "Clear", True, 0)
+    assert (row["distance_km"], row["origin_weather"], row["is_insured"], row["origin_has_severe"]) == (0.0, "Clear", True, 0)
 
 
 def test_row_bounded_files(spark, tmp_path):
     writers.chunked_parquet(spark.range(0, 1050, 1, 1), str(tmp_path / "c"), rows=100)
-    assert len(readers.list_files(spark, str(tmp_path / "c"), ".parquet")) == 11
+    assert readers.file_listing(spark, str(tmp_path / "c"), "*.parquet").count() == 11
+    assert readers.has_files(spark, str(tmp_path / "c"), ".parquet") and not readers.has_files(spark, str(tmp_path), ".csv")
 
 
 def test_manifest(spark, zones):

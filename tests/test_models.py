@@ -5,6 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from haulyard.constants import DELAY_FEATURES
+from haulyard.operators import encode
 from haulyard.plans import models
 
 
@@ -55,10 +56,16 @@ def test_importance_names_the_cause(spark, trained):
     assert len(top) == 8 and top[0]["feature"] in {"distance_km", "freight_charge_inr", "is_long_haul"}
 
 
-def test_best_model_is_saved_and_loads(spark, trained, tmp_path):
-    metadata = models.save_best(trained, models.evaluate(trained, models.QUICK), str(tmp_path))
+def test_best_model_is_saved_and_scores_plain_bookings(spark, orders, trained, tmp_path):
+    codes = encode.label_codes(models.delay_features(orders, encode_categories=False), models.DELAY_CATEGORIES)
+    metadata = models.save_best(trained, models.evaluate(trained, models.QUICK), str(tmp_path), codes)
     loaded = PipelineModel.load(f"{tmp_path}/best_model")
-    assert len(loaded.stages) == 2
+    assert len(loaded.stages) == 3
+    scored = models.score_bookings(orders, str(tmp_path))
+    best = trained.scored.where(F.col("model") == metadata["best_model_name"]).select("booking_id", "score")
+    both = scored.join(best, "booking_id")
+    assert scored.columns[: len(orders.columns)] == orders.columns and both.count() == best.count()
+    assert both.agg(F.max(F.abs(F.col("score") - F.col("delay_probability")))).first()[0] < 1e-9
     stored = json.loads(spark.read.text(f"{tmp_path}/model_metadata").first()[0])
     assert stored["best_model_name"] == metadata["best_model_name"] and stored["feature_cols"] == DELAY_FEATURES
     assert stored["threshold"] == 0.45 and "saved_at" in stored

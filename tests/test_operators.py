@@ -45,6 +45,34 @@ def test_quantiles_by_group(numbers, monkeypatch):
             np.testing.assert_allclose(got[g][c], np.quantile(part[c].dropna(), [0.05, 0.5]), rtol=1e-12)
 
 
+@pytest.mark.parametrize("listed,rows", [(20_000, 60), (20, 60), (20, 30_000)])
+def test_infinite_values_are_values(spark, monkeypatch, listed, rows):
+    monkeypatch.setattr(quantiles, "LISTED_GROUP", listed)
+    monkeypatch.setattr(quantiles, "MAX_LISTED", listed)
+    inf = float("inf")
+    frame = spark.range(rows).select(
+        F.lit("a").alias("g"),
+        F.when(F.col("id") % 2 == 0, inf).otherwise(F.col("id").cast("double")).alias("upper"),
+        F.when(F.col("id") % 3 == 0, -inf).when(F.col("id") % 3 == 1, inf).otherwise(F.col("id").cast("double")).alias("both"),
+    )
+    probs = [0.0, 0.25, 0.75, 1.0]
+    values = frame.toPandas()
+    got = quantiles.quantile_frame(frame, ["upper", "both"], probs, "g").first()
+    for c in ("upper", "both"):
+        ordered = np.sort(values[c])
+        for q, prob in zip(got[c], probs):
+            low, high = ordered[int(np.floor((rows - 1) * prob))], ordered[int(np.ceil((rows - 1) * prob))]
+            assert q == low if low == high else low <= q <= high and not np.isnan(q)
+
+
+def test_one_answer_for_any_number_of_groups(numbers, spark, monkeypatch):
+    frame = numbers.withColumn("g", F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), (F.col("id") % 1500).cast("string"))))
+    monkeypatch.setattr(quantiles, "LISTED_GROUP", 1000)
+    got = {r.g: r.smooth for r in quantiles.quantile_frame(frame, ["smooth"], [0.5, 0.9], "g").collect()}
+    for g, part in frame.toPandas().groupby("g"):
+        np.testing.assert_allclose(got[g], np.quantile(part["smooth"], [0.5, 0.9]), rtol=1e-12)
+
+
 def test_quantiles_of_sorted_partitions(spark):
     """Each task holds its own value range: the worst case for combining sketches."""
     frame = spark.range(0, 30000, 1, 8).select((F.col("id") * 1.5).alias("v"))

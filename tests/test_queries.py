@@ -10,9 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import __spark_entry__ as entry
 from tools.check import compare, connection
 
-SLOW = {"delay_models", "ml_report", "feature_importance", "anomaly_report"}
-
-
 @pytest.fixture(scope="module")
 def duck(data):
     return connection(data)
@@ -23,7 +20,7 @@ def test_entry_and_registration(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", entry.queries())
 def test_query(spark, duck, data, name):
     result = compare(spark, duck, name, data)
     assert result.startswith("ok" if name in entry.oracle_sql() else "rows"), result
