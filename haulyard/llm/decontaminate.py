@@ -39,40 +39,40 @@ def words(data: bytes | None) -> list[bytes]:
     return data.translate(WORD_BYTES).split() if data else []
 
 
-class Windows:
-    """The windows of some items, by length, as sequences of word numbers from 1 on."""
-
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
-        self.numbers: dict[bytes, int] = {}
-        self.by_length: dict[int, dict[bytes, list[str]]] = {}
-        for item, text in items:
-            own = words(text)
-            ids = np.array([self.numbers.setdefault(w, len(self.numbers) + 1) for w in own], np.int32)
-            n = min(window, len(own))
-            for i in range(len(own) - n + 1 if n else 0):
-                holders = self.by_length.setdefault(n, {}).setdefault(ids[i : i + n].tobytes(), [])
-                if item not in holders:
-                    holders.append(item)
-
-    def scan(self, texts: list[list[bytes]]) -> list[tuple[list, set]]:
-        """Per text the found windows as (start, end) and the ids of their items."""
-        get = self.numbers.get
-        # one sequence for all texts; the 0 after each keeps windows from reaching into the next
-        ids = np.fromiter((x for own in texts for x in (*[get(w, 0) for w in own], 0)), np.int32)
-        ends = np.cumsum([len(own) + 1 for own in texts])
-        known = np.concatenate([[0], np.cumsum(ids > 0)])
-        found = [([], set()) for _ in texts]
-        for n, windows in self.by_length.items():
-            if len(ids) < n:
-                continue
-            for i in np.flatnonzero(known[n:] - known[:-n] == n).tolist():
-                holders = windows.get(ids[i : i + n].tobytes())
-                if holders:
-                    k = int(np.searchsorted(ends, i, "right"))
-                    start = i - (int(ends[k - 1]) if k else 0)
-                    found[k][0].append((start, start + n))
-                    found[k][1].update(holders)
-        return found
+def windows_of(items: list[tuple[str, bytes]], window: int) -> tuple[dict, dict]:
+    """The items' windows as (word numbers from 1 on, {length: {window as numbers: its items}})."""
+    numbers: dict[bytes, int] = {}
+    by_length: dict[int, dict[bytes, list[str]]] = {}
+    for item, text in items:
+        own = words(text)
+        ids = np.array([numbers.setdefault(w, len(numbers) + 1) for w in own], np.int32)
+        n = min(window, len(own))
+        for i in range(len(own) - n + 1 if n else 0):
+            holders = by_length.setdefault(n, {}).setdefault(ids[i : i + n].tobytes(), [])
+            if item not in holders:
+                holders.append(item)
+    return numbers, by_length
+
+
+def found_in(texts: list[list[bytes]], numbers: dict, by_length: dict) -> list[tuple[list, set]]:
+    """Per text, given as its words, the found windows as (start, end) and the ids of their items."""
+    get = numbers.get
+    # one sequence for all texts; the 0 after each keeps windows from reaching into the next
+    ids = np.fromiter((x for own in texts for x in (*[get(w, 0) for w in own], 0)), np.int32)
+    ends = np.cumsum([len(own) + 1 for own in texts])
+    known = np.concatenate([[0], np.cumsum(ids > 0)])
+    found = [([], set()) for _ in texts]
+    for n, windows in by_length.items():
+        if len(ids) < n:
+            continue
+        for i in np.flatnonzero(known[n:] - known[:-n] == n).tolist():
+            holders = windows.get(ids[i : i + n].tobytes())
+            if holders:
+                k = int(np.searchsorted(ends, i, "right"))
+                start = i - (int(ends[k - 1]) if k else 0)
+                found[k][0].append((start, start + n))
+                found[k][1].update(holders)
+    return found
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -89,7 +89,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _step(df: DataFrame, text: str, windows, first: bool) -> DataFrame:
     def compute(texts, part):
         own = [words(t) for t in texts]
-        found = windows.value.scan(own)
+        found = found_in(own, *windows.value)
         before = [((), ())] * len(own)
         if not first:
             spans, items = (part.column(part.schema.names.index(n)).to_pylist() for n in ("hit_words", "items"))
@@ -119,7 +119,7 @@ def scan(
     for k in range(parts):
         # at most about part_bytes of items reach the driver at a time
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k).collect()
-        windows = spark.sparkContext.broadcast(Windows([(r.item, bytes(r.text or b"")) for r in rows], window))
+        windows = spark.sparkContext.broadcast(windows_of([(r.item, bytes(r.text or b"")) for r in rows], window))
         out = _step(out, text, windows, first=k == 0)
     return out
 

@@ -247,6 +247,15 @@ class Tree:
     def __init__(self, words, levels, n_tokens, n_words):
         self.words, self.levels, self.n_tokens, self.n_words = words, levels, n_tokens, n_words
 
+    def plain(self) -> tuple:
+        """What the tree is made of, without classes: broadcast values are read where this package may be absent."""
+        return self.words, [(x.contexts, x.weights, x.pairs, x.logs) for x in self.levels], self.n_tokens, self.n_words
+
+    @classmethod
+    def of(cls, plain: tuple) -> Tree:
+        words, levels, n_tokens, n_words = plain
+        return cls(words, [Level(*x) for x in levels], n_tokens, n_words)
+
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.n_tokens + 0.5 * (self.n_words + 1)))
 
@@ -319,7 +328,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes:
     spark = docs.sparkSession
     codes = materialise(encode(docs, key, text, part_bytes))
     words = materialise(vocabulary(codes))
-    tree = spark.sparkContext.broadcast(learn(codes, words, **options))
+    sent = spark.sparkContext.broadcast(learn(codes, words, **options).plain())
     # a word that stands in one part only has its count there already
     shared = words.where("parts > 1").select("word", "c")
     places = codes.select("part", F.posexplode("words").alias("at", "word")).join(shared, "word").select(F.col("part").alias("in_part"), "at", "c")
@@ -328,22 +337,23 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes:
 
     def apply(part: pa.Table, found: pa.Table) -> pa.Table:
         row = Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
+        tree = Tree.of(sent.value)
         counts = row.counts.copy()
         counts[found["at"].to_numpy()] = found["c"].to_numpy()
-        base, own = tree.value.base(counts), numbered(row.words, tree.value.words)
+        base, own = tree.base(counts), numbered(row.words, tree.words)
         n_known, base_score, scores = [], [], []
         for first, last, tokens, place in row.chunks():
             lengths = row.lengths[first:last]
             starts = np.cumsum(lengths) - lengths
             n_known.append(np.add.reduceat((counts[tokens] > 0).astype(np.int64), starts))
             base_score.append(np.add.reduceat(base[tokens], starts))
-            scores.append(np.add.reduceat(tree.value.score(own, tokens, place, base), starts))
+            scores.append(np.add.reduceat(tree.score(own, tokens, place, base), starts))
         return pa.table({
             key: row.keys,
             "held_out": pa.array(row.held, pa.bool_()),
             "n_tokens": row.lengths,
             "n_known": np.concatenate(n_known),
-            "train_tokens": np.full(len(row.lengths), tree.value.n_tokens, np.int64),
+            "train_tokens": np.full(len(row.lengths), tree.n_tokens, np.int64),
             "base_score": np.concatenate(base_score),
             "score": np.concatenate(scores),
         })
