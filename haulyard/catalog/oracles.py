@@ -234,6 +234,10 @@ TYPED = f"""{BK}, typed AS (SELECT * REPLACE (upper(trim(booking_id)) AS booking
     FROM sql_clean)"""
 ORACLES["spark_etl_features"] = f"WITH {TYPED} SELECT {NO_HELPERS} FROM sql_feat"
 ORACLES["iot_features"] = f"WITH {IOT_FEAT} SELECT * FROM iot_feat"
+# a tier's lowest share by interpolated quantile: so many of n different scores lie below it
+ORACLES["iforest_rates"] = f"""WITH {IOT_FEAT} SELECT vehicle_tier, count(*) AS readings,
+  CAST(ceil((count(*) - 1) * CASE vehicle_tier WHEN 'OLD' THEN 9 WHEN 'MID' THEN 5 WHEN 'NEW' THEN 2 END / 1e2) AS BIGINT) AS flagged
+  FROM iot_feat GROUP BY 1"""
 ORACLES["weather_features"] = f"WITH {WX_FEAT} SELECT * FROM wx_feat"
 ML_BASE = f"""{BK_LARGE}, ml AS (SELECT *, is_delayed AS target, {CARGO_FLAGS}, {interactions(rnd)} FROM large)"""
 CATS = ["origin_city", "destination_city", "cargo_type", "priority"]
@@ -344,6 +348,12 @@ ORACLES["route_analysis"] = f"""WITH {BK_LARGE} SELECT origin_city, destination_
   {rnd("sum(freight_charge_inr)", 0)} AS total_revenue, {rnd("avg(distance_km)", 1)} AS avg_distance, CAST(sum(is_delayed) AS BIGINT) AS delay_count,
   {rnd("avg(cargo_weight_kg)", 1)} AS avg_weight, {rnd("CAST(sum(is_delayed) AS DOUBLE) / count(booking_id) * 1e2", 1)} AS delay_rate_pct,
   origin_city || ' to ' || destination_city AS route FROM large GROUP BY 1, 2"""
+# the same on bookings with gaps, which count as 0
+GAPS = f"""{BK_LARGE}, gaps AS (SELECT * REPLACE (CASE WHEN booking_id LIKE '%-3' THEN 0 ELSE freight_charge_inr END AS freight_charge_inr,
+  CASE WHEN booking_id LIKE '%-5' THEN 0 ELSE distance_km END AS distance_km) FROM large)"""
+ORACLES["delivery_kpis_gaps"] = f"WITH {GAPS} {DELIVERY} FROM gaps"
+for _name in ("top_routes", "route_analysis", "revenue_by_city"):
+    ORACLES[f"{_name}_gaps"] = ORACLES[_name].replace(f"WITH {BK_LARGE}", f"WITH {GAPS}").replace("FROM large GROUP", "FROM gaps GROUP").replace("FROM large\n", "FROM gaps\n")
 ORACLES["status_breakdown"] = f"""WITH {TYPED}, n AS (SELECT delivery_status, count(*) AS order_count FROM sql_feat GROUP BY 1)
   SELECT delivery_status, order_count, {sql_round("order_count * 1e2 / (SELECT sum(order_count) FROM n)", 1)} AS pct FROM n"""
 DELAYED_PCT = sql_round("sum(is_delayed) * 1e2 / count(*)", 1)

@@ -398,6 +398,37 @@ def fleet_health(spark, folder):
     return kpis.fleet_health(flagged_iot(spark, folder), "confirmed_anomaly")
 
 
+def gappy_bookings(spark, folder):
+    """Clean bookings in which the third item of an order has no freight and the fifth no distance."""
+    line = F.element_at(F.split("booking_id", "-"), -1)
+    return large_frame(spark, folder).withColumns(
+        {
+            "freight_charge_inr": F.when(line != "3", F.col("freight_charge_inr")),
+            "distance_km": F.when(line != "5", F.col("distance_km")),
+        }
+    )
+
+
+@query
+def delivery_kpis_gaps(spark, folder):
+    return kpis.delivery_kpis(gappy_bookings(spark, folder))
+
+
+@query
+def top_routes_gaps(spark, folder):
+    return kpis.top_routes(gappy_bookings(spark, folder))
+
+
+@query
+def route_analysis_gaps(spark, folder):
+    return kpis.route_analysis(gappy_bookings(spark, folder))
+
+
+@query
+def revenue_by_city_gaps(spark, folder):
+    return kpis.revenue_by_city(gappy_bookings(spark, folder))
+
+
 @query
 def kpi_summary(spark, folder):
     flagged = flagged_iot(spark, folder)
@@ -624,6 +655,13 @@ def iforest(spark, folder):
     return detected(spark, folder).select("event_id", "vehicle_id", "vehicle_tier", *columns)
 
 
+@query
+def iforest_rates(spark, folder):
+    """Readings and flagged ones per tier: the flagged share is the tier's expected one."""
+    found = detected(spark, folder).groupBy("vehicle_tier")
+    return found.agg(F.count(F.lit(1)).alias("readings"), F.sum(F.col("confirmed_anomaly").cast("bigint")).alias("flagged"))
+
+
 @query
 def lof(spark, folder):
     return anomaly.lof_flags(materialise(featured_iot(spark, folder)), ["event_id"])
