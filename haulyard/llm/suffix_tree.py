@@ -1,20 +1,22 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Tokens are the words of the lower-cased (A-Z) text and one end per text; the first word's context is the end
-mark. The tree's root holds the exact counts of all tokens. A context (the one or two tokens before) becomes
-a state when it is frequent enough (at least ``LEAST_CONTEXT`` of all training tokens) and its next-token distribution diverges from that
-of its suffix by at least ``DIVERGENCE`` nats per token. A state keeps its frequent successors (at least ``LEAST_PAIR`` of
-all tokens); each is smoothed with the suffix's probability, and what is left is spread over all other tokens in
-proportion to the suffix's distribution, so every state's probabilities sum to one. A token is scored in the
-state of its longest context that the tree has.
-
-By these shares a level has at most 1 / LEAST_PAIR kept successors, whatever the size of the corpus: the states
-above the root can be broadcast, with a bound that is known before. The root cannot: its vocabulary grows with
-the corpus and stays a table, joined to the words of each part of the corpus.
+mark. The tree's root holds the exact counts of all tokens. A context of any number of tokens becomes a state when it
+occurs at least ``LEAST_CONTEXT`` times in the training texts, its suffix (one token less) is a state or the root, and
+its next-token distribution diverges from that of its suffix by at least ``DIVERGENCE`` nats per token. A state keeps the
+successors seen at least ``LEAST_PAIR`` times; each is smoothed with the suffix's probability, and what is left is spread
+over all other tokens in proportion to the suffix's distribution, so every state's probabilities sum to one. A token is
+scored in the state of its longest context that the tree has.
+
+The counts are fixed numbers, so the tree grows with the corpus, and levels are added until one has no state. Neither
+states nor successors are ever held in one place: they are tables, joined to the contexts and successors that each
+part of the corpus has, as the vocabulary is. A successor kept by a state is kept by its suffix too, so the suffix's
+probability is found by one join with the level below.
 
 Texts are encoded once: per part (at most ``PART_BYTES`` of text, inside one task) the different words, as 64-bit
-hashes, and the texts as numbers into that list, compressed. A word crosses the network once per part, not once per
-occurrence, so the most frequent words make no skew.
+hashes, and the texts as numbers into that list, compressed. A word, context or successor crosses the network once per part,
+not once per occurrence, so the most frequent make no skew. A longer context is named by a 64-bit hash of its suffix's
+name and the word before.
 
 Defined cases: a null or empty text is one end token. Rows are held out by their key's checksum; a null key
 counts as the empty text. Without training tokens every c is 0. Repeated rows are each counted and scored.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +38,12 @@ from xxhash import xxh64_intdigest
 from haulyard.llm.frames import col, slices
 from haulyard.session import materialise
 
-LEAST_CONTEXT = 2e-5
-LEAST_PAIR = 2e-6
-FEW_CONTEXTS, FEW_PAIRS = 10, 2  # least counts in a small corpus, where the shares say little
+LEAST_CONTEXT = 10
+LEAST_PAIR = 2
 DIVERGENCE = 0.02
 SMOOTHING = 2.0  # tokens of the suffix's distribution added to a state's counts
 FOLDS, HELD_OUT = 5, 1
 PART_BYTES = 12 << 20
-FLUSH = 2_000_000  # counted pairs a task holds before it hands them on
 CHUNK = 1 << 18  # tokens worked on at once, but whole texts
 END = xxh64_intdigest(b"\n")  # no word has a line end in it
 
@@ -135,69 +136,33 @@ def rows_of(batch) -> Iterator[Row]:
         yield Row({n: batch.column(n).slice(i, 1) for n in batch.schema.names})
 
 
-def contexts(tokens: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token before each (the end mark, 0, before a text) and the one before that (-1 where there is none)."""
-    before = np.where(place > 0, np.concatenate([[0], tokens[:-1]]), 0)
-    second = np.where(place > 1, np.concatenate([[0, 0], tokens[:-2]])[: len(tokens)], np.where(place == 1, 0, -1))
-    return before, second
-
+def longer(suffix: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The names of the contexts that are ``word`` and then the context named ``suffix``."""
+    x = suffix.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
-def numbered(own: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Per word of a part its place in the sorted array ``known``, or -1."""
-    if not len(known):
-        return np.full(len(own), -1)
-    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-    return np.where(known[at] == own, at, -1)
 
+def contexts(words: np.ndarray, tokens: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Level by level the name of the context before each token, and whether the text reaches so far back.
 
-def _count(codes: DataFrame, known, states) -> DataFrame:
-    """(ctx, sym, n) over the training tokens: pairs of frequent words, or pairs after them if ``states`` is given.
-
-    A context of one token is its place among the frequent words; one of two is the state's place among the
-    sorted pairs in ``states``.
+    The end mark, number 0, stands before a text.
     """
-
-    def run(batches):
-        words, pairs = known.value, states.value if states else None
-        width = np.int64(len(words) or 1)
-        keys, counts, pending = [], [], 0
-
-        def flush():
-            key, n = summed(np.concatenate(keys), np.concatenate(counts))
-            return pa.RecordBatch.from_arrays([pa.array(key // width), pa.array(key % width), pa.array(n)], ["ctx", "sym", "n"])
-
-        for batch in batches:
-            for row in rows_of(batch):
-                own = numbered(row.words, words)
-                for first, last, tokens, place in row.chunks():
-                    before, second = contexts(tokens, place)
-                    sym, ctx = own[tokens], own[before]
-                    ok = ~np.repeat(row.held[first:last], row.lengths[first:last]) & (sym >= 0) & (ctx >= 0)
-                    if pairs is not None:
-                        two = np.where(second >= 0, own[second], -1)
-                        ctx, found = _find(pairs, two * width + ctx)
-                        ok &= found & (two >= 0)
-                    key, n = summed(ctx[ok] * width + sym[ok])
-                    keys.append(key)
-                    counts.append(n)
-                    pending += len(key)
-                    if pending > FLUSH:
-                        yield flush()
-                        keys, counts, pending = [], [], 0
-        if pending:
-            yield flush()
-
-    return codes.select("held", "lengths", "words", "tokens").mapInArrow(run, "ctx long, sym long, n long").groupBy("ctx", "sym").agg(F.sum("n").alias("n"))
-
-
-def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The different keys and how often, or with what sum of counts, each occurs."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
+    name = None
+    for back in count(1):
+        token = np.zeros(len(tokens), np.int64)
+        token[back:] = tokens[:-back] if back < len(tokens) else tokens[:0]
+        token[place < back] = 0
+        name = words[token] if name is None else longer(name, words[token])
+        yield name, place >= back - 1
+
+
+def summed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys and how often each occurs."""
+    keys = np.sort(keys)
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    if counts is None:
-        return keys[starts], np.diff(np.append(starts, len(keys)))
-    return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts[:0]
+    return keys[starts], np.diff(np.append(starts, len(keys)))
 
 
 def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,76 +173,123 @@ def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, known[at] == wanted
 
 
+def _read(part: pa.Table) -> Row:
+    return Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
+
+
+def _sorted(table: pa.Table, name: str) -> np.ndarray:
+    return np.sort(table[name].to_numpy())
+
+
+def _deepest(row: Row, tokens, place, depth: int, below: np.ndarray | None):
+    """Names of the contexts of ``depth`` tokens and of their suffixes, and where they are there with a state for a suffix."""
+    suffix = np.zeros(len(tokens), np.int64)
+    for level, (name, there) in zip(range(1, depth + 1), contexts(row.words, tokens, place)):
+        if level < depth:
+            suffix = name
+    return name, suffix, there if below is None else there & _find(below, suffix)[1]
+
+
+def _counts(row: Row, depth: int, below: np.ndarray | None) -> pa.Table:
+    """(ctx, sub, sym, n) of the training texts; without a sym the context's own count."""
+    out = []
+    width = len(row.words)
+    for first, last, tokens, place in row.chunks():
+        name, suffix, ok = _deepest(row, tokens, place, depth, below)
+        ok &= ~np.repeat(row.held[first:last], row.lengths[first:last])
+        names, at, number = np.unique(name[ok], return_index=True, return_inverse=True)
+        subs = suffix[ok][at]
+        code, n = summed(number * np.int64(width) + tokens[ok])
+        of = code // width
+        out.append(pa.table([pa.array(names[of]), pa.array(subs[of]), pa.array(row.words[code % width]), pa.array(n)], COUNTED))
+        out.append(pa.table([pa.array(names), pa.array(subs), pa.nulls(len(names), pa.int64()), pa.array(np.bincount(number, minlength=len(names)).astype(np.int64))], COUNTED))
+    return pa.concat_tables(out) if out else COUNTED.empty_table()
+
+
+def _count(codes: DataFrame, depth: int, alive: DataFrame | None) -> DataFrame:
+    """(ctx, sub, sym, n) over the training tokens, where the suffix ``sub`` is a state (``alive``: those each part has)."""
+    schema = "ctx long, sub long, sym long, n long"
+    slim = codes.select("part", "held", "lengths", "words", "tokens")
+    if alive is None:
+
+        def run(batches):
+            for batch in batches:
+                for row in rows_of(batch):
+                    yield from _counts(row, depth, None).to_batches(1 << 18)
+
+        raw = slim.drop("part").mapInArrow(run, schema)
+    else:
+        raw = slim.groupBy("part").cogroup(alive.groupBy("in_part")).applyInArrow(lambda part, known: _counts(_read(part), depth, _sorted(known, "ctx")) if part.num_rows and known.num_rows else COUNTED.empty_table(), schema)
+    return raw.groupBy("ctx", "sub", "sym").agg(F.sum("n").alias("n"))
+
+
+def _present(codes: DataFrame, depth: int, alive: DataFrame | None) -> DataFrame:
+    """(in_part, ctx): the different contexts of ``depth`` tokens of each part, where the suffix is a state."""
+    if depth == 1:
+        return codes.select(F.col("part").alias("in_part"), F.explode("words").alias("ctx"))
+    schema = pa.schema([("in_part", pa.int64()), ("ctx", pa.int64())])
+
+    def run(part, known):
+        if not (part.num_rows and known.num_rows):
+            return schema.empty_table()
+        row, below, found = _read(part), _sorted(known, "ctx"), []
+        for _, _, tokens, place in row.chunks():
+            name, _, ok = _deepest(row, tokens, place, depth, below)
+            found.append(np.unique(name[ok]))
+        found = np.unique(np.concatenate(found))
+        return pa.table([pa.array(np.full(len(found), part["part"][0].as_py(), np.int64)), pa.array(found)], schema)
+
+    slim = codes.select("part", "held", "lengths", "words", "tokens")
+    return slim.groupBy("part").cogroup(alive.groupBy("in_part")).applyInArrow(run, "in_part long, ctx long")
+
+
+COUNTED = pa.schema([("ctx", pa.int64()), ("sub", pa.int64()), ("sym", pa.int64()), ("n", pa.int64())])
+
+
 class Level:
-    """The states of one length: kept successors with their probabilities, and the weight of all others.
+    """States of one length: kept successors with their probabilities, and the weight of all others.
 
-    ``contexts`` are the sorted codes of the states, ``pairs`` the sorted codes state * width + symbol.
+    ``contexts`` are the sorted names of the states, ``pairs`` the sorted codes state * width + symbol.
     """
 
     def __init__(self, contexts, weights, pairs, logs):
         self.contexts, self.weights, self.pairs, self.logs = contexts, weights, pairs, logs
 
-
-def grow(ctx: np.ndarray, sym: np.ndarray, n: np.ndarray, totals: np.ndarray, suffix: np.ndarray, width: int, codes: np.ndarray, divergence: float) -> Level:
-    """The states among the candidates.
-
-    ``ctx`` and ``sym`` with counts ``n`` are the frequent successors, sorted; ``totals`` are the candidates' counts,
-    ``suffix`` the successors' probabilities in the suffix state, ``codes`` the candidates' names as contexts.
-    """
-    size = len(totals)
-    kept, below = (np.bincount(ctx, x, size).astype(float) for x in (n, suffix))  # of nothing, bincount gives integers
-    total = np.maximum(totals.astype(float), 1.0)
-    rest = np.maximum(totals - kept, 0.0)
-    share = n / total[ctx]
-    gain = np.bincount(ctx, share * np.log(share / suffix), size).astype(float)
-    other = np.maximum(1.0 - below, 1e-12)
-    gain += np.where(rest > 0, rest / total * np.log(np.maximum(rest / total, 1e-300) / other), 0.0)
-    stays = (totals > 0) & (gain >= divergence)
-    smooth = (n + SMOOTHING * suffix) / (total[ctx] + SMOOTHING)
-    mass = np.bincount(ctx, smooth, size).astype(float)
-    weight = np.maximum(1.0 - mass, 1e-12) / other
-    place = np.cumsum(stays) - 1
-    on = stays[ctx]
-    return Level(codes[stays], np.log10(weight[stays]), place[ctx[on]] * np.int64(width) + sym[on], np.log10(smooth[on]))
+    @classmethod
+    def of(cls, words: np.ndarray, ctx, weight, pair_ctx, pair_sym, log) -> Level:
+        """From tables of states and successors; ``words`` sorted."""
+        order = np.argsort(ctx)
+        ctx = ctx[order]
+        state, known = _find(ctx, pair_ctx)
+        sym, there = _find(words, pair_sym)
+        ok = known & there
+        code = state[ok] * np.int64(len(words) or 1) + sym[ok]
+        by = np.argsort(code)
+        return cls(ctx, weight[order], code[by], log[ok][by])
+
+    def lift(self, score: np.ndarray, name: np.ndarray, there: np.ndarray, sym: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The scores in this level's states where there is one, and where that is."""
+        state, known = _find(self.contexts, name)
+        known &= there
+        pair, kept = _find(self.pairs, np.where(sym >= 0, state * np.int64(width) + sym, -1))
+        lifted = np.where(kept, self.logs[pair] if len(self.logs) else 0.0, score + (self.weights[state] if len(self.weights) else 0.0))
+        return np.where(known, lifted, score), known
 
 
 class Tree:
-    """Frequent words, the two levels above the root, and the totals the root needs."""
+    """Sorted words, the levels above the root, and the totals the root needs: of a whole small corpus, or what one part needs."""
 
     def __init__(self, words, levels, n_tokens, n_words):
         self.words, self.levels, self.n_tokens, self.n_words = words, levels, n_tokens, n_words
 
-    def plain(self) -> tuple:
-        """What the tree is made of, without classes: broadcast values are read where this package may be absent."""
-        return self.words, [(x.contexts, x.weights, x.pairs, x.logs) for x in self.levels], self.n_tokens, self.n_words
-
-    @classmethod
-    def of(cls, plain: tuple) -> Tree:
-        words, levels, n_tokens, n_words = plain
-        return cls(words, [Level(*x) for x in levels], n_tokens, n_words)
-
-    def base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.5) / (self.n_tokens + 0.5 * (self.n_words + 1)))
-
-    def score(self, own: np.ndarray, tokens: np.ndarray, place: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """log10 of every token's probability in its longest state.
-
-        ``own`` are the places of the part's words among the frequent ones, ``base`` the root's log-probabilities.
-        """
-        before, second = contexts(tokens, place)
-        sym, one, two = own[tokens], own[before], np.where(second >= 0, own[second], -1)
-        return self.climb(base[tokens], sym, one, two)
-
-    def climb(self, score: np.ndarray, sym: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """From the root's log-probabilities up to those of the longest states."""
-        width = np.int64(len(self.words) or 1)
-        codes = [one, np.where((one >= 0) & (two >= 0), two * width + one, -1)]
-        for level, code in zip(self.levels, codes):
-            state, known = _find(level.contexts, code)
-            pair, kept = _find(level.pairs, np.where(sym >= 0, state * width + sym, -1))
-            kept &= known
-            lifted = np.where(kept, level.logs[pair] if len(level.logs) else 0.0, score + (level.weights[state] if len(level.weights) else 0.0))
-            score = np.where(known, lifted, score)
+    def climb(self, score: np.ndarray, sym: np.ndarray, *before: np.ndarray) -> np.ndarray:
+        """From the root's log-probabilities up to those of the longest states; ``before`` are the places of the words before, or -1."""
+        name, there = None, np.ones(len(sym), bool)
+        for level, place in zip(self.levels, before):
+            there = there & (place >= 0)
+            word = self.words[np.maximum(place, 0)]
+            name = word if name is None else longer(name, word)
+            score, there = level.lift(score, name, there, sym, len(self.words) or 1)
         return score
 
 
@@ -287,75 +299,140 @@ def vocabulary(codes: DataFrame) -> DataFrame:
     return each.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c"), F.count(F.lit(1)).alias("parts"))
 
 
-def learn(codes: DataFrame, words: DataFrame, least_context: float = LEAST_CONTEXT, least_pair: float = LEAST_PAIR, divergence: float = DIVERGENCE) -> Tree:
-    """The tree of an encoded corpus and its vocabulary. What reaches the driver has at most 1/least_pair rows a level."""
-    spark = codes.sparkSession
+def totals_of(words: DataFrame) -> tuple[int, int]:
+    """Training tokens and different words in them."""
     row = words.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_tokens, n_words = int(row.n or 0), int(row.v)
-    floor, often = max(FEW_PAIRS, least_pair * n_tokens), max(FEW_CONTEXTS, least_context * n_tokens)
-    frequent = words.where(F.col("c") >= often).select("word", "c").toArrow()
-    order = np.argsort(frequent["word"].to_numpy()) if frequent.num_rows else []
-    known = frequent["word"].to_numpy()[order].astype(np.int64) if frequent.num_rows else np.empty(0, np.int64)
-    counts = frequent["c"].to_numpy()[order].astype(np.int64) if frequent.num_rows else np.empty(0, np.int64)
-    width = len(known) or 1
-    root = (counts + 0.5) / (n_tokens + 0.5 * (n_words + 1))
-    tree = Tree(known, [], n_tokens, n_words)
-    sent = spark.sparkContext.broadcast(known)
-    pairs = _rows(_count(codes, sent, None).where(F.col("n") >= floor))
-    first = grow(*pairs, counts, root[pairs[1]], width, np.arange(len(known)), divergence)
-    tree.levels.append(first)
-    # contexts of two: frequent pairs whose last token is a state
-    good = (pairs[2] >= often) & np.isin(pairs[1], first.contexts)
-    code = pairs[0][good] * np.int64(width) + pairs[1][good]
-    order = np.argsort(code)
-    code, totals = code[order], pairs[2][good][order]
-    triples = _rows(_count(codes, sent, spark.sparkContext.broadcast(code)).where(F.col("n") >= floor))
-    last = code[triples[0]] % width if len(code) else triples[0]
-    lower = 10.0 ** tree.climb(np.log10(root[triples[1]]), triples[1], last, np.full(len(last), -1))
-    tree.levels.append(grow(*triples, totals, lower, width, code, divergence))
-    return tree
-
-
-def _rows(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    got = df.toArrow()
-    ctx, sym, n = (got[c].to_numpy().astype(np.int64) if got.num_rows else np.empty(0, np.int64) for c in ("ctx", "sym", "n"))
-    order = np.lexsort((sym, ctx))
-    return ctx[order], sym[order], n[order]
+    return int(row.n or 0), int(row.v)
+
+
+def grown(codes: DataFrame, words: DataFrame, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR, divergence: float = DIVERGENCE) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
+    """Per level, until one has no state: states (ctx, weight), successors (ctx, sym, p), and (in_part, ctx, weight) of the parts' states."""
+    n_tokens, n_words = totals_of(words)
+    levels, alive = [], None
+    below = words.where("c > 0").select(F.col("word").alias("sym"), ((F.col("c") + 0.5) / (n_tokens + 0.5 * (n_words + 1))).alias("q"))
+    for depth in count(1):
+        enough = F.when(F.col("sym").isNull(), F.col("n") >= least_context).otherwise(F.col("n") >= least_pair)
+        seen = materialise(_count(codes, depth, alive).where(enough))
+        total = seen.where("sym is null").select("ctx", F.col("n").alias("total"))
+        pairs = seen.where("sym is not null").join(total, "ctx")
+        rated = materialise(pairs.join(below, ["sym"] if depth == 1 else ["sub", "sym"]).select("ctx", "sym", "n", "total", "q"))
+        sums = rated.groupBy("ctx").agg(F.sum("n").alias("kept"), F.sum("q").alias("below"), F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("g"), F.max("total").alias("total"))
+        rest, other = (F.col("total") - F.col("kept")) / F.col("total"), F.greatest(1 - F.col("below"), F.lit(1e-12))
+        gain = (F.col("g") - F.col("kept") * F.log("total")) / F.col("total") + F.when(rest > 0, rest * F.log(rest / other)).otherwise(0.0)
+        mass = (F.col("kept") + SMOOTHING * F.col("below")) / (F.col("total") + SMOOTHING)
+        weight = F.log10(F.greatest(1 - mass, F.lit(1e-12)) / other)
+        states = materialise(sums.where(gain >= divergence).select("ctx", weight.alias("weight")))
+        if states.isEmpty():
+            return levels
+        smooth = (F.col("n") + SMOOTHING * F.col("q")) / (F.col("total") + SMOOTHING)
+        kept = materialise(rated.join(states.select("ctx"), "ctx").select("ctx", "sym", smooth.alias("p")))
+        alive = materialise(_present(codes, depth, alive).join(states, "ctx").select("in_part", "ctx", "weight"))
+        levels.append((states, kept, alive))
+        below = kept.select(F.col("ctx").alias("sub"), "sym", F.col("p").alias("q"))
+
+
+def learn(codes: DataFrame, words: DataFrame, **options) -> Tree:
+    """The whole tree of a corpus small enough for the driver; ``score`` does without."""
+    known = np.sort(words.where("c > 0").select("word").toArrow()["word"].to_numpy())
+    levels = []
+    for states, kept, _ in grown(codes, words, **options):
+        s, k = states.toArrow(), kept.toArrow()
+        levels.append(Level.of(known, s["ctx"].to_numpy(), s["weight"].to_numpy(), k["ctx"].to_numpy(), k["sym"].to_numpy(), np.log10(k["p"].to_numpy())))
+    return Tree(known, levels, *totals_of(words))
+
+
+def _wanted(codes: DataFrame, alive: DataFrame) -> DataFrame:
+    """(in_part, depth, ctx, sym): the different successors of the states of each part, kept ones or not."""
+    schema = pa.schema([("in_part", pa.int64()), ("depth", pa.int32()), ("ctx", pa.int64()), ("sym", pa.int64())])
+
+    def run(part, known):
+        if not (part.num_rows and known.num_rows):
+            return schema.empty_table()
+        row, out = _read(part), []
+        states = _by_depth(known)
+        width = np.int64(len(row.words))
+        codes_of = [[] for _ in states]
+        for _, _, tokens, place in row.chunks():
+            on = np.ones(len(tokens), bool)
+            for i, ((ctx, _), (name, there)) in enumerate(zip(states, contexts(row.words, tokens, place))):
+                state, found = _find(ctx, name)
+                on = on & there & found
+                codes_of[i].append(np.unique(state[on] * width + tokens[on]))
+        for i, ((ctx, _), found) in enumerate(zip(states, codes_of)):
+            code = np.unique(np.concatenate(found))
+            out.append(pa.table([pa.array(np.full(len(code), part["part"][0].as_py(), np.int64)), pa.array(np.full(len(code), i + 1, np.int32)), pa.array(ctx[code // width]), pa.array(row.words[code % width])], schema))
+        return pa.concat_tables(out)
+
+    slim = codes.select("part", "held", "lengths", "words", "tokens")
+    return slim.groupBy("part").cogroup(alive.groupBy("in_part")).applyInArrow(run, "in_part long, depth int, ctx long, sym long")
+
+
+def _by_depth(known: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per level the sorted names of the states and their weights."""
+    depth, ctx, weight = (known[n].to_numpy() for n in ("depth", "ctx", "weight"))
+    out = []
+    for d in range(1, int(depth.max()) + 1):
+        here = np.flatnonzero(depth == d)
+        here = here[np.argsort(ctx[here])]
+        out.append((ctx[here], weight[here]))
+    return out
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes: int = PART_BYTES, **options) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``."""
-    spark = docs.sparkSession
     codes = materialise(encode(docs, key, text, part_bytes))
     words = materialise(vocabulary(codes))
-    sent = spark.sparkContext.broadcast(learn(codes, words, **options).plain())
+    n_tokens, n_words = totals_of(words)
     # a word that stands in one part only has its count there already
     shared = words.where("parts > 1").select("word", "c")
-    places = codes.select("part", F.posexplode("words").alias("at", "word")).join(shared, "word").select(F.col("part").alias("in_part"), "at", "c")
+    none = F.lit(None)
+    found = codes.select("part", F.posexplode("words").alias("at", "word")).join(shared, "word").select(
+        F.col("part").alias("in_part"), F.lit(0).alias("depth"), F.col("at").cast("long").alias("ctx"), F.col("c").alias("sym"), none.cast("double").alias("weight")
+    )
+    alive = kept = None
+    for depth, (_, pairs, mine) in enumerate(grown(codes, words, **options), 1):
+        pairs, mine = pairs.withColumn("depth", F.lit(depth)), mine.withColumn("depth", F.lit(depth))
+        alive, kept = (mine, pairs) if alive is None else (alive.unionByName(mine), kept.unionByName(pairs))
+    if alive is not None:
+        met = _wanted(codes, alive).join(kept, ["depth", "ctx", "sym"]).select("in_part", "depth", "ctx", "sym", F.log10("p").alias("weight"))
+        found = found.unionByName(alive.withColumn("sym", none.cast("long"))).unionByName(met)
     kind = docs.schema[key].dataType.simpleString()
     out = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def apply(part: pa.Table, found: pa.Table) -> pa.Table:
-        row = Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
-        tree = Tree.of(sent.value)
+        row = _read(part)
         counts = row.counts.copy()
-        counts[found["at"].to_numpy()] = found["c"].to_numpy()
-        base, own = tree.base(counts), numbered(row.words, tree.words)
+        depth, ctx, weight = (found[n].to_numpy() for n in ("depth", "ctx", "weight"))
+        lone = found["sym"].is_null().to_numpy()
+        sym = found["sym"].fill_null(0).to_numpy()
+        counts[ctx[depth == 0]] = sym[depth == 0]
+        base = np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
+        order = np.argsort(row.words)
+        words = row.words[order]
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        levels = []
+        for d in range(1, int(depth.max(initial=0)) + 1):
+            state, pair = (depth == d) & lone, (depth == d) & ~lone
+            levels.append(Level.of(words, ctx[state], weight[state], ctx[pair], sym[pair], weight[pair]))
         n_known, base_score, scores = [], [], []
         for first, last, tokens, place in row.chunks():
             lengths = row.lengths[first:last]
             starts = np.cumsum(lengths) - lengths
             n_known.append(np.add.reduceat((counts[tokens] > 0).astype(np.int64), starts))
             base_score.append(np.add.reduceat(base[tokens], starts))
-            scores.append(np.add.reduceat(tree.score(own, tokens, place, base), starts))
+            score, on, own = base[tokens], np.ones(len(tokens), bool), number[tokens]
+            for level, (name, there) in zip(levels, contexts(row.words, tokens, place)):
+                score, on = level.lift(score, name, there & on, own, len(words))
+            scores.append(np.add.reduceat(score, starts))
         return pa.table({
             key: row.keys,
             "held_out": pa.array(row.held, pa.bool_()),
             "n_tokens": row.lengths,
             "n_known": np.concatenate(n_known),
-            "train_tokens": np.full(len(row.lengths), tree.n_tokens, np.int64),
+            "train_tokens": np.full(len(row.lengths), n_tokens, np.int64),
             "base_score": np.concatenate(base_score),
             "score": np.concatenate(scores),
         })
 
-    return codes.groupBy("part").cogroup(places.groupBy("in_part")).applyInArrow(apply, out)
+    return codes.groupBy("part").cogroup(found.groupBy("in_part")).applyInArrow(apply, out)

@@ -196,6 +196,21 @@ def test_states_sum_to_one_and_help_on_held_out_texts(spark):
             assert (10.0**logs).sum() + 10.0 ** unknown[0] == pytest.approx(1.0, abs=1e-6)
 
 
+def test_tree_grows_with_the_corpus_and_in_depth(spark):
+    rng = random.Random(13)
+    # a context seen ten times among more than half a million training tokens
+    rows = [(i, " ".join(rng.choices([f"f{k}" for k in range(50)], k=400))) for i in range(1800)]
+    keys = [i for i in range(2000, 2100) if not suffix_tree.held_out(i)][:10]
+    odd = next(i for i in range(2100, 2200) if suffix_tree.held_out(i))
+    rows += [(i, "rare next") for i in keys] + [(odd, "rare next")]
+    r = {r.doc_id: r for r in scored(spark, rows)}[odd]
+    assert r.train_tokens > 500_000 and r.score > r.base_score + 3
+
+    # what follows "a a" is known only from the word before them
+    held = [r for r in scored(spark, [(i, "a a a b " * 30) for i in range(100)]) if r.held_out]
+    assert sum(r.score for r in held) > -0.05 * sum(r.n_tokens for r in held)
+
+
 # ---- token files ----------------------------------------------------------------------------
 
 
