@@ -1,10 +1,10 @@
 """Main text of web pages by consensus paths per host.
 
-Every page's containers are scored by the text they hold outside boilerplate (links count for nothing); the
-page votes for the path of the innermost container with most of its text. A path is the tags and classes
+Every page's containers are scored by the letters and digits they hold outside boilerplate and links; the page
+votes for the path of the innermost container that holds all of them, quotes, tables and figures aside. A path is the tags and classes
 from the root, digits generalised, so that ``div.post-17`` and ``div.post-18`` are one. Votes are added up per
 host in Spark; the pages are then extracted again, with the winning path of their host. A page that has
-nothing on that path, or less there than half of what its own best container holds, keeps its own.
+less on that path than its own container holds keeps its own, so no text outside boilerplate and links is lost.
 
 The text: blocks in page order, one line each; character references decoded, white space inside a block made
 one blank. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out
@@ -26,9 +26,6 @@ from pyspark.sql import functions as F
 from haulyard.llm.frames import add_columns, bounded, col
 from haulyard.session import materialise
 
-MOST = 0.6  # share of a page's text that the container voted for holds
-LEAST_OF_OWN = 0.5
-
 # fixed values: elements by kind
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style".split())
@@ -39,6 +36,8 @@ CONTAINERS = frozenset("main article section div td table tbody tr center blockq
 BLOCKS = CONTAINERS | frozenset(
     "html body p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd pre address hgroup figcaption thead tfoot th caption fieldset summary hr search".split()
 )
+# containers that are no page's main one: parts of a text
+PARTS = frozenset("table tbody tr td blockquote figure details".split())
 # a new block of these ends an open one of the same kind
 ENDS_ITSELF = frozenset("p li dt dd tr td th option".split())
 # fixed values: words in classes, ids and roles that mark boilerplate
@@ -54,6 +53,7 @@ NEGATING = frozenset("no with has without".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+NO_WORD = re.compile(r"[\W_]+")
 DIGITS = re.compile(r"[0-9]+")
 
 
@@ -81,15 +81,16 @@ def step_of(tag: str, attributes: str) -> str:
 class Page:
     """The blocks of a page outside boilerplate, each with the containers it stands in.
 
-    ``containers`` holds (path, containers around it and itself); ``blocks`` (text, container, characters outside links).
+    ``containers`` holds (path, containers around it and itself); ``blocks`` (text, container, letters and digits outside links).
     """
 
     def __init__(self, source: str):
         self.containers: list[tuple[str, tuple[int, ...]]] = [("", (0,))]
+        self.parts: set[int] = set()  # containers that are parts of a text, or in one
         self.blocks: list[tuple[str, int, int]] = []
         self._stack: list[tuple[str, int, bool, bool]] = []  # tag, container, skipped, link
         self._pieces: list[str] = []
-        self._linked = 0
+        self._own = 0
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -120,15 +121,15 @@ class Page:
         if piece and not skipped:
             piece = html.unescape(piece) if "&" in piece else piece
             self._pieces.append(piece)
-            if link:
-                self._linked += len(piece)
+            if not link:
+                self._own += len(NO_WORD.sub("", piece))
 
     def _flush(self) -> None:
         if self._pieces:
             text = " ".join("".join(self._pieces).split())
             if text:
-                self.blocks.append((text, self._here()[0], max(0, len(text) - self._linked)))
-            self._pieces, self._linked = [], 0
+                self.blocks.append((text, self._here()[0], self._own))
+            self._pieces, self._own = [], 0
 
     def _pop(self, i: int) -> None:
         if any(x[0] in BLOCKS for x in self._stack[i:]):
@@ -163,20 +164,23 @@ class Page:
         if name in CONTAINERS and not mine:
             path, around = self.containers[container]
             self.containers.append((f"{path}>{step_of(name, attributes)}", (*around, len(self.containers))))
+            if name in PARTS or container in self.parts:
+                self.parts.add(len(self.containers) - 1)
             container = len(self.containers) - 1
         if name in BLOCKS or mine != skipped or name == "a":
             self._stack.append((name, container, mine, link or name == "a"))
 
     def best(self) -> tuple[int, int]:
-        """The innermost container with most of the text, and how much it holds."""
+        """The innermost container with all of the text, and how much that is."""
         held: dict[int, int] = {}
         for _, container, score in self.blocks:
-            for c in self.containers[container][1]:
-                held[c] = held.get(c, 0) + score
+            if score:
+                for c in self.containers[container][1]:
+                    held[c] = held.get(c, 0) + score
         total = held.get(0, 0)
-        good = [c for c, n in held.items() if n >= MOST * total]
-        best = max(good, key=lambda c: (len(self.containers[c][1]), held[c], -c), default=0)
-        return best, held.get(best, 0)
+        good = [c for c, n in held.items() if n == total and c not in self.parts]
+        best = max(good, key=lambda c: (len(self.containers[c][1]), -c), default=0)
+        return best, total
 
     def text(self, wanted: set[int]) -> str:
         return "\n".join(t for t, c, _ in self.blocks if wanted.intersection(self.containers[c][1]))
@@ -195,7 +199,7 @@ def extract(source: str, path: str | None) -> str:
     if path is not None:
         wanted = {i for i, (p, _) in enumerate(page.containers) if p == path}
         own = sum(s for _, c, s in page.blocks if wanted.intersection(page.containers[c][1]))
-        if own and own >= LEAST_OF_OWN * held:
+        if own and own >= held:
             return page.text(wanted)
     return page.text({best})
 

@@ -247,6 +247,17 @@ def test_hosts_vote_for_generalised_paths(spark):
     assert [(r.host, r.path, r.votes) for r in won] == [("h.example", ">div.wrap>div.post-#", 12)]
 
 
+def test_no_article_text_is_lost_outside_the_largest_container(spark):
+    lead, body = "lead " * 30, "body " * 70
+    split = f"<nav>Menu</nav><div class=wrap><article><div class=lead>{lead}</div><div class=body>{body}</div></article></div>"
+    quote = f"<article><p>{lead}</p><blockquote>{body}</blockquote></article>"
+    path = extraction.vote(split)[0]
+    assert path == ">div.wrap>article"
+    for source in (split, quote, quote.replace("blockquote", "figure"), quote.replace("<blockquote>", "<table><tr><td>").replace("</blockquote>", "</table>")):
+        for host in (None, path, ">article", ">div.wrap>article>div.body", ">article>blockquote"):
+            assert extraction.extract(source, host) == f"{lead.strip()}\n{body.strip()}"
+
+
 def test_broken_pages_end(spark):
     for source in ("<", "<p", "<!--", "<script>", "<div class='", "</p></div>", "<div>" * 2000 + "x", '<a "' * 2000, "&" * 5000):
         extraction.extract(source, None)
