@@ -7,8 +7,10 @@ host in Spark; the pages are then extracted again, with the winning path of thei
 less on that path than its own container holds keeps its own, so no text outside boilerplate and links is lost.
 
 The text: blocks in page order, one line each; character references decoded, white space inside a block made
-one blank. Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out
-by tag, role and class wherever they stand.
+one blank. Menus, headers, footers, sidebars, adverts, forms, comments, scripts and styles are left out by tag, role
+and class wherever they stand; ids count on wrappers only. Words that articles use too ("discussion", "related",
+"notice") only make a wrapper doubtful: it does not count in the choice of the container, and is left out if most of
+its text is links or if it stands outside the container.
 
 Defined cases: a null, empty or text-free page gives the empty text. Pages without a readable host are each
 their own. Ties of votes go to the path with more text, then to the first by name. Repeated pages vote each.
@@ -40,41 +42,61 @@ BLOCKS = CONTAINERS | frozenset(
 PARTS = frozenset("table tbody tr td blockquote figure details".split())
 # a new block of these ends an open one of the same kind
 ENDS_ITSELF = frozenset("p li dt dd tr td th option".split())
-# fixed values: words in classes, ids and roles that mark boilerplate
+# fixed values: words in classes and ids that mark boilerplate
 BOILER = frozenset(
-    """nav navbar navigation menu menus breadcrumb breadcrumbs sidebar side header masthead topbar footer bottombar ad ads adv advert adverts
-    advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay
-    newsletter subscribe subscription signup social share sharing related recommended recommendations comment comments commentlist disqus
-    respond reply replies discussion pagination pager toolbar widget widgets login search complementary contentinfo dialog""".split()
+    """nav navbar breadcrumb breadcrumbs sidebar masthead topbar footer bottombar ad ads adv advert adverts advertisement sponsored promo
+    cookie cookies gdpr popup modal newsletter subscribe signup share sharing comments commentlist disqus pagination pager toolbar""".split()
 )
+# words that also name parts of articles: boilerplate only with evidence
+DOUBTFUL = frozenset(
+    """navigation menu menus side header advertising sponsor promotion banner consent notice notices alert overlay subscription social related
+    recommended recommendations comment respond reply replies discussion widget widgets login search complementary contentinfo dialog""".split()
+)
+ROLES = frozenset("navigation search complementary contentinfo banner dialog alertdialog menu menubar toolbar".split())
+# elements whose ids, and doubtful classes, are looked at
+WRAPPERS = frozenset("div section ul ol dl table td center details fieldset".split())
 KEEPERS = frozenset("html body main article".split())
 NEGATING = frozenset("no with has without".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+INVISIBLE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 NO_WORD = re.compile(r"[\W_]+")
 DIGITS = re.compile(r"[0-9]+")
 
 
-def is_boilerplate(tag: str, attributes: str) -> bool:
+def parsed(attributes: str) -> dict[str, str]:
+    """The attributes by lower-cased name; of repeated ones the first."""
+    found: dict[str, str] = {}
+    for a in ATTRIBUTE.finditer(attributes):
+        found.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
+    return found
+
+
+def is_boilerplate(tag: str, attributes: dict[str, str]) -> bool | None:
+    """Whether an element is boilerplate; None if that is doubtful."""
     if tag in SKIPPED:
         return True
     if not attributes or tag in KEEPERS:
         return False
-    if HIDDEN.search(attributes):
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or INVISIBLE.search(attributes.get("style", "")):
+        return True
+    wrapper = tag in WRAPPERS
+    if wrapper and ROLES.intersection(attributes.get("role", "").lower().split()):
         return True
-    for found in ATTRIBUTE.finditer(attributes):
-        for name in (found[2] or found[3] or found[4] or "").lower().split():
-            words = [w for w in re.split(r"[^a-z]+", name) if w]
-            if words and words[0] not in NEGATING and (words[0] in BOILER or words[-1] in BOILER):
+    doubtful = False
+    for name in (attributes.get("class", "") + " " + (attributes.get("id", "") if wrapper else "")).lower().split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if words and words[0] not in NEGATING:
+            if words[0] in BOILER or words[-1] in BOILER:
                 return True
-    return False
+            doubtful = doubtful or (wrapper and (words[0] in DOUBTFUL or words[-1] in DOUBTFUL))
+    return None if doubtful else False
 
 
-def step_of(tag: str, attributes: str) -> str:
+def step_of(tag: str, attributes: dict[str, str]) -> str:
     """A container's step in a path: its tag and classes, digits generalised."""
-    classes = next((a[2] or a[3] or a[4] or "" for a in ATTRIBUTE.finditer(attributes) if a[1].lower() == "class"), "") if attributes else ""
+    classes = attributes.get("class", "")
     return tag + "".join("." + c for c in sorted(set(DIGITS.sub("#", classes.lower()).split())))
 
 
@@ -88,10 +110,17 @@ class Page:
         self.containers: list[tuple[str, tuple[int, ...]]] = [("", (0,))]
         self.parts: set[int] = set()  # containers that are parts of a text, or in one
         self.blocks: list[tuple[str, int, int]] = []
-        self._stack: list[tuple[str, int, bool, bool]] = []  # tag, container, skipped, link
+        self._stack: list[tuple[str, int, bool, bool, int]] = []  # tag, container, skipped, link, doubtful element or 0
+        self._doubts = [(0, 0)]  # letters and digits of each doubtful element: outside links, in links
+        self._inside: list[int] = []  # the doubtful element of each block, or 0
         self._pieces: list[str] = []
         self._own = 0
         self._read(source)
+        linked = {i for i, (own, links) in enumerate(self._doubts) if i and links > own}
+        both = [(b, d) for b, d in zip(self.blocks, self._inside) if d not in linked]
+        if any(b[2] for b, d in both if not d):  # doubtful text does not choose the container
+            both = [((b[0], b[1], 0) if d else b, d) for b, d in both]
+        self.blocks = [b for b, _ in both]
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
@@ -113,22 +142,27 @@ class Page:
                 at = end.start() if end else n
         self._flush()
 
-    def _here(self) -> tuple[int, bool, bool]:
-        return self._stack[-1][1:] if self._stack else (0, False, False)
+    def _here(self) -> tuple[int, bool, bool, int]:
+        return self._stack[-1][1:] if self._stack else (0, False, False, 0)
 
     def _text(self, piece: str) -> None:
-        _, skipped, link = self._here()
+        _, skipped, link, doubt = self._here()
         if piece and not skipped:
             piece = html.unescape(piece) if "&" in piece else piece
             self._pieces.append(piece)
+            size = len(NO_WORD.sub("", piece)) if doubt or not link else 0
             if not link:
-                self._own += len(NO_WORD.sub("", piece))
+                self._own += size
+            if doubt:
+                own, links = self._doubts[doubt]
+                self._doubts[doubt] = (own, links + size) if link else (own + size, links)
 
     def _flush(self) -> None:
         if self._pieces:
             text = " ".join("".join(self._pieces).split())
             if text:
                 self.blocks.append((text, self._here()[0], self._own))
+                self._inside.append(self._here()[3])
             self._pieces, self._own = [], 0
 
     def _pop(self, i: int) -> None:
@@ -159,16 +193,21 @@ class Page:
             if name == "br":
                 self._text(" ")
             return
-        container, skipped, link = self._here()
-        mine = skipped or is_boilerplate(name, attributes)
+        container, skipped, link, doubt = self._here()
+        known = parsed(attributes) if attributes and not skipped else {}
+        judged = skipped or is_boilerplate(name, known)
+        mine = bool(judged)
+        if judged is None and not doubt:
+            self._doubts.append((0, 0))
+            doubt = len(self._doubts) - 1
         if name in CONTAINERS and not mine:
             path, around = self.containers[container]
-            self.containers.append((f"{path}>{step_of(name, attributes)}", (*around, len(self.containers))))
+            self.containers.append((f"{path}>{step_of(name, known)}", (*around, len(self.containers))))
             if name in PARTS or container in self.parts:
                 self.parts.add(len(self.containers) - 1)
             container = len(self.containers) - 1
         if name in BLOCKS or mine != skipped or name == "a":
-            self._stack.append((name, container, mine, link or name == "a"))
+            self._stack.append((name, container, mine, link or name == "a", doubt))
 
     def best(self) -> tuple[int, int]:
         """The innermost container with all of the text, and how much that is."""

@@ -258,6 +258,20 @@ def test_no_article_text_is_lost_outside_the_largest_container(spark):
             assert extraction.extract(source, host) == f"{lead.strip()}\n{body.strip()}"
 
 
+def test_article_text_with_plain_words_in_attributes_stays():
+    kept = [
+        "<h2 id=discussion>Heading</h2>", "<h2 id='related-work'>Works</h2>", "<h3 id=side-effects>Effects</h3>", "<section class=discussion><p>We discuss</p></section>",
+        "<p title='the hidden cost'>Cost</p>", "<p class='md:block hidden lg:flex'>Wide</p>", "<p data-id=ads>Data</p>", "<section id=notice>Note</section>",
+    ]
+    gone = [
+        "<div class=related><a href=/a>Another story</a> <a href=/b>One more</a></div>", "<p hidden>H</p>", "<p aria-hidden='true'>A</p>", "<p style='color:red; display: none'>N</p>",
+        "<div role=search>S</div>", "<div class=share>Share</div>", "<div id=cookie-notice>C</div>", "<ul id=comments><li>Reader</ul>",
+    ]
+    source = "<article><p>Text of it</p>" + "".join(a + b for a, b in zip(kept, gone)) + "</article><div class=banner>Welcome</div>"
+    want = "Text of it\nHeading\nWorks\nEffects\nWe discuss\nCost\nWide\nData\nNote"
+    assert extraction.extract(source, None) == want and extraction.vote(source)[0] == ">article"
+
+
 def test_broken_pages_end(spark):
     for source in ("<", "<p", "<!--", "<script>", "<div class='", "</p></div>", "<div>" * 2000 + "x", '<a "' * 2000, "&" * 5000):
         extraction.extract(source, None)
