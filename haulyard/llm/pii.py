@@ -4,7 +4,7 @@ Base spans are e-mail addresses, IP addresses, card numbers and phone numbers, e
 non-overlapping matches of its pattern that pass its test. Their values are the protected entities.
 
 A term (a lower-cased word) discloses an entity when seeing it all but names the entity. Over the whole
-corpus, c(t, e) is the number of different texts in which t stands within ``REACH`` words of e, and n(t) the
+corpus, c(t, e) is the number of different texts in which t is one of the ``REACH`` whole words on either side of the word, or words, that e stands in, and n(t) the
 number of different texts with t anywhere. The information t gives on e is log2(P(e|t) / P(e)), with P(e|t) = c(t, e) / n(t).
 Terms with c >= ``SUPPORT``, P(e|t) >= ``CERTAIN`` and at least ``BITS`` bits are disclosing; all their occurrences become
 spans of the kind "term". In the sanitised text, spans become ``[KIND]``; a disclosing term becomes ``[NUMBER]``
@@ -26,6 +26,7 @@ from haulyard.llm.frames import bounded, col, others
 from haulyard.session import materialise
 
 REACH = 5
+WINDOW = 400  # characters read first on each side of a span
 SUPPORT = 3
 CERTAIN = 0.8
 BITS = 6.0
@@ -124,6 +125,20 @@ def _piece(text: Column, start: Column, end: Column) -> Column:
     return F.substring(text, (start + 1).cast("int"), (end - start).cast("int"))
 
 
+def _near(text: Column, start: Column, end: Column, reach: int, left: bool) -> Column:
+    """The ``reach`` whole words nearest to a span in the text on one side of it; to the left, reversed.
+
+    What touches the span belongs to its own word and is passed over. A short window is read first, and
+    the whole side where that does not surely hold all the words.
+    """
+    side = F.reverse(_piece(text, start, end)) if left else _piece(text, start, end)
+    window = _piece(text, F.greatest(end - WINDOW, start), end) if left else _piece(text, start, F.least(start + WINDOW, end))
+    window = F.reverse(window) if left else window
+    step = rf"[{BLANK}]++[^{BLANK}]++"
+    enough = rf"^[^{BLANK}]*+(?:{step}){{{reach}}}[{BLANK}]"
+    return F.regexp_extract(F.when(F.rlike(window, F.lit(enough)), window).otherwise(side), rf"^[^{BLANK}]*+((?:{step}){{0,{reach}}})", 1)
+
+
 def disclosing_terms(docs: DataFrame, text: str, reach: int = REACH, support: int = SUPPORT, certain: float = CERTAIN, bits: float = BITS) -> DataFrame:
     """(term, bits): the terms that disclose an entity of the texts."""
     whole = col(text)
@@ -131,10 +146,8 @@ def disclosing_terms(docs: DataFrame, text: str, reach: int = REACH, support: in
     found = docs.select(whole.alias("_t"), mark, base_spans(whole).alias("base_spans"))
     spans = found.where(F.size("base_spans") > 0).select("_t", "_mark", F.explode("base_spans").alias("s"))
 
-    # a window of characters around the span that surely holds the words near it; its cut-off words at the outer ends are left out
-    width = 400
-    before = F.regexp_extract(F.substring(F.col("_t"), F.greatest(F.col("s.start") - width, F.lit(0)).cast("int") + 1, F.least(F.col("s.start"), F.lit(width)).cast("int")), rf"(?:(?<![^{BLANK}])[^{BLANK}]+[{BLANK}]+){{0,{reach}}}$", 0)
-    after = F.regexp_extract(F.substring(F.col("_t"), F.col("s.end").cast("int") + 1, F.lit(width)), rf"^(?:[{BLANK}]+[^{BLANK}]+(?=[{BLANK}]|$)){{0,{reach}}}", 0)
+    before = F.reverse(_near(F.col("_t"), F.lit(0), F.col("s.start"), reach, left=True))
+    after = _near(F.col("_t"), F.col("s.end"), F.length("_t").cast("long"), reach, left=False)
     entity = F.concat_ws(":", F.col("s.kind"), _piece(F.col("_t"), F.col("s.start"), F.col("s.end")))
     spans = materialise(spans.select("_mark", entity.alias("entity"), F.array_distinct(F.concat(_words(before), _words(after))).alias("terms")))
     near = spans.select("_mark", "entity", F.explode("terms").alias("term")).distinct()
@@ -152,7 +165,7 @@ def disclosing_terms(docs: DataFrame, text: str, reach: int = REACH, support: in
     each = docs.select(mark, F.explode(F.array_distinct(_words(whole))).alias("term"))
     counted = each.join(bounded(best.select("term"), "term"), "term", "left_semi")
     totals = counted.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    n_texts = docs.agg(F.approx_count_distinct(F.xxhash64(whole), 0.01)).first()[0]
+    n_texts = docs.agg(F.count_distinct(F.xxhash64(whole))).first()[0]
     rated = best.join(totals, "term").withColumn("share", F.col("c") / F.col("n"))
     rated = rated.withColumn("bits", F.log2(F.col("share") * n_texts / F.col("n_entity")))
     return materialise(rated.where((F.col("share") >= certain) & (F.col("bits") >= bits)).select("term", "bits"))

@@ -133,6 +133,12 @@ def test_terms_that_name_an_entity_are_replaced(spark):
     assert pii.sanitise(docs.limit(0)).count() == 0
 
 
+def test_terms_beside_an_entity_that_touches_other_characters(spark):
+    around = ["Zorgon <eve@x.org> w{}", "v{} (eve@x.org), Zorgon", "email:eve@x.org Zorgon", "Zorgon " + "x{}" * 300 + " \"eve@x.org\".", "<eve@x.org> " + "é{}" * 300 + " Zorgon"]
+    rows = [(i, text.replace("{}", str(i))) for i, text in enumerate(around)] + [(100 + i, f"plain text {i}") for i in range(800)]
+    assert {r.term for r in pii.disclosing_terms(frame(spark, rows), "text", support=5).collect()} == {"zorgon"}
+
+
 def test_overlapping_spans_become_one(spark):
     docs = frame(spark, [(1, "call 1.2.3.4@x.org now, 10.0.0.1")])
     assert pii.sanitise(docs).first().text == "call [EMAIL] now, [IP]"
