@@ -626,12 +626,12 @@ def ingestion_manifest(spark, folder):
 
 def trained_models(spark, folder, only=None):
     features = models.delay_features(large_frame(spark, folder))
-    return models.train(features, ["booking_id"], models.QUICK, only)
+    return models.train(features, ["booking_id"], models.Settings(), only)
 
 
 @query
 def delay_models(spark, folder):
-    return models.evaluate(trained_models(spark, folder), models.QUICK)
+    return models.evaluate(trained_models(spark, folder), models.Settings())
 
 
 @query
@@ -642,7 +642,7 @@ def feature_importance(spark, folder):
 
 @query
 def ml_report(spark, folder):
-    return reports.ml_report(materialise(models.evaluate(trained_models(spark, folder), models.QUICK)))
+    return reports.ml_report(materialise(models.evaluate(trained_models(spark, folder), models.Settings())))
 
 
 def detected(spark, folder):

@@ -1,9 +1,11 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from haulyard.catalog import queries
 from haulyard.constants import DELAY_FEATURES
 from haulyard.operators import encode
 from haulyard.plans import models
@@ -79,3 +81,17 @@ def test_target_and_zero_fill(spark):
     ).withColumn("freight_charge_inr", F.lit("12"))
     row = models.delay_features(frame, encode_categories=False).first()
     assert (row["target"], row["distance_km"], row["freight_charge_inr"], row["revenue_per_km"]) == (1, 0.0, 12.0, 12.0)
+
+
+def test_registered_queries_train_at_full_size(monkeypatch):
+    used = []
+    monkeypatch.setattr(queries, "large_frame", lambda *_: None)
+    monkeypatch.setattr(queries, "materialise", lambda df: df)
+    monkeypatch.setattr(models, "delay_features", lambda _: None)
+    monkeypatch.setattr(models, "train", lambda _, keys, settings, only=None: used.append(settings) or SimpleNamespace(models={"Random Forest": None}))
+    monkeypatch.setattr(models, "evaluate", lambda _, settings: used.append(settings))
+    monkeypatch.setattr(models, "feature_importance", lambda *_: None)
+    monkeypatch.setattr(queries.reports, "ml_report", lambda _: None)
+    for query in (queries.delay_models, queries.feature_importance, queries.ml_report):
+        query(None, "")
+    assert used == [models.Settings()] * 5
