@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulyard.llm import chat, decontaminate, extraction, licenses, mixing, pii, quality, simhash, suffix_tree, token_counts
+from haulyard.llm import chat, decontaminate, extraction, licenses, mixing, packing, pii, quality, simhash, spelling, suffix_tree, token_counts, trie
 from haulyard.llm.frames import table
 from haulyard.session import materialise
 
@@ -95,3 +95,19 @@ def op9_suffix_tree(spark, folder):
 def op10_licenses(spark, folder):
     found = licenses.scanned(texts(spark, folder))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op11_spelling(spark, folder):
+    return spelling.variants(spelling.vocabulary(texts(spark, folder)))
+
+
+@query
+def op12_conversation_trie(spark, folder):
+    own = trie.sequences(table(spark, folder, "conversations"))
+    return trie.trie(trie.rebuilt(materialise(own))).drop("turn")
+
+
+@query
+def op13_packing(spark, folder):
+    return packing.packed(texts(spark, folder), ids=False)

@@ -147,3 +147,94 @@ def conversations(rows):
         loss = "".join(t for _, _, r, t in turns if r == "assistant")
         out[conv] = (len(turns), sha("".join(f"{r}\n{t}\n" for _, _, r, t in turns)), len(loss), sha(loss))
     return out
+
+
+def damaged_words(docs, fewest=5, damage=199):
+    count = Counter()
+    for key, text in docs:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % damage == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1 :]
+            if len(run) >= 6:
+                count[run] += 1
+    return {w: n for w, n in count.items() if n >= fewest}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(count):
+    near, form = {w: [v for v in count if one_edit(w, v)] for w in count}, {}
+    for w in count:
+        if near[w]:
+            best = min(near[w], key=lambda v: (-count[v], v))
+            if count[best] >= 5 * count[w]:
+                form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), count[w], len(near[w]), count[form[w]] if w in form else None) for w in count}
+
+
+def trie(rows):
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, t) for *_, r, t in sorted(v)] for c, v in convs.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in own:
+        h = crc32(str(c).encode()) % 9
+        turns = tuple(own.get(c - c % 5, [])[:h] + own[c][h:])
+        ends[turns].append(c)
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = sum(leaves[k] for k in children[node]) or 1
+        saved[node] = sum(saved[k] for k in children[node]) + ((len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0)
+    return sorted(
+        (min(m), len(node), min(members[node[:-1]]) if node else -1, len(m), len(children[node]), leaves[node], saved[node], sha(",".join(map(str, sorted(ends[node])))))
+        for node, m in members.items()
+    )
+
+
+def best_two_fit(lengths, capacity):
+    """Sequence by sequence, piece by piece."""
+    left, out = sorted(lengths), []
+    while left:
+        own, gap = [], capacity
+        while any(n <= gap for n in left):
+            n = max(n for n in left if n <= gap)
+            left.remove(n)
+            own.append(n)
+            gap -= n
+        if gap and len(own) > 1:
+            least, best = min(own), None
+            for i, a in enumerate(left):
+                for b in left[i + 1 :]:
+                    if least < a + b <= gap + least and (best is None or (a + b, b) > best):
+                        best = (a + b, b)
+            if best:
+                own.remove(least)
+                own += [best[1], best[0] - best[1]]
+                left.remove(best[1])
+                left.remove(best[0] - best[1])
+                left = sorted([*left, least])
+        out.append(sorted(own, reverse=True))
+    return out
