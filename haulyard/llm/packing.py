@@ -18,8 +18,9 @@ key and the text are not read; null keys stay null.
 
 from __future__ import annotations
 
+import re
 import zlib
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +45,34 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+# the vocabulary always breaks between a letter or digit and one of these marks, so a blank may stand there
+MARK = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?])")
+# a word of lower-case letters only is one unit before merging: its normal form is itself
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is printable, else the next from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in printable)
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
 class WordIds:
     """Token ids of texts, from a memory of the ids of words.
 
     The vocabulary drops white space and none of its patterns crosses it, so a text's ids are its words' ids, one
-    after another. Words are split at ASCII blanks; only words not seen before go through the tokenizer. Capitals
-    A-Z are lowered before, as the vocabulary does itself, but for texts that may hold the name of a special token.
+    after another. Words are split at ASCII blanks and before marks; only words not seen before go to the tokenizer, words of
+    nothing but lower-case letters straight to its merges. Capitals A-Z are lowered before, as the vocabulary does itself, but
+    for texts that may hold the name of a special token; those are left whole.
     """
 
     def __init__(self, vocabulary: bytes, end: int = END):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(vocabulary)
+        self.merges = self.tokenizer.model
+        self.letters = byte_letters()
         self.end = end
         self.clear()
 
@@ -65,26 +82,30 @@ class WordIds:
         self.starts = np.zeros(1, np.int64)
         self.sizes = np.ones(1, np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+    def learn(self, words: set[bytes]) -> None:
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        other = list(words.difference(plain))
+        found = [[t.id for t in self.merges.tokenize(w.decode() if w.isascii() else w.decode("latin-1").translate(self.letters))] for w in plain]
+        found += [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)]
+        first = len(self.known) + 1
+        self.known.update(zip(plain + other, range(first, first + len(found))))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        for w in words:
-            self.known[w] = len(self.known) + 1
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each closed by the end id, and where each text's ids stop."""
-        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        split = [(t if b"<|" in t else MARK.sub(b" ", t.lower())).split() if t else [] for t in texts]
         if len(self.known) > CACHED_WORDS or len(self.ids) > CACHED_IDS:
             self.clear()
-        new = {w for words in split for w in words if w not in self.known}
-        if new:
-            self.learn(list(new))
-        known = self.known
-        entries = np.fromiter((e for words in split for e in (*map(known.__getitem__, words), 0)), np.int64, sum(map(len, split)) + len(split))
+        if new := set().union(*split).difference(self.known):
+            self.learn(new)
+        numbers: list[int] = []
+        for words in split:
+            numbers.extend(map(self.known.__getitem__, words))
+            numbers.append(0)
+        entries = np.array(numbers, np.int64)
         sizes = self.sizes[entries]
         stops = np.cumsum(sizes)
         flat = self.ids[np.repeat(self.starts[entries] - (stops - sizes), sizes) + np.arange(int(sizes.sum()))]
