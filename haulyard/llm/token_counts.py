@@ -7,7 +7,7 @@ where the last one began before it: that comes from prefix scans (running sums a
 small summaries. A document that spans any number of blocks is so put together without being read again.
 
 ``write_flat`` makes such files: texts are tokenised with a public byte-pair vocabulary and written by Spark's
-text sink with the two bytes of the separator as line separator, so every task writes one flat file.
+text sink with the two bytes of the separator as line separator, so every task writes one flat file, and one of its rows' keys.
 
 Defined cases: a null or empty text is a document of 0 tokens. Tokens after a file's last separator are an
 unfinished document (``ended`` false). Empty files have no documents. An odd last byte is no token.
@@ -22,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from haulyard.llm.frames import add_columns, col
+from haulyard.llm.frames import col, slices
 from haulyard.session import scratch_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 EOD = 50256
 WIDTH = 2
 BLOCK = 1 << 20
+NO_KEY = b"-"  # stands for a null key; other keys are written in base 64
 # fixed value: the split pattern the vocabulary was made with
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -40,21 +41,55 @@ def encoder(vocabulary: bytes, pattern: str = PATTERN):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def write_flat(docs: DataFrame, path: str, text: str = "text", vocabulary: str = VOCABULARY, eod: int = EOD) -> None:
-    """Flat token files of ``docs`` in the folder ``path``: one per partition, its documents in the order of the rows."""
+def write_flat(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, eod: int = EOD) -> tuple[str, str]:
+    """Flat token files of ``docs`` under ``path``, one per partition, and beside each a file of its rows' keys in the same order.
+
+    One task writes both files of its partition from the same rows and Spark commits them together, so they belong
+    together however the rows came to the task. Returns the folders of the token files and of the key files.
+    """
     with open(vocabulary, "rb") as file:
         sent = docs.sparkSession.sparkContext.broadcast(file.read())
-    made = []
-
-    def compute(texts, _):
-        if not made:  # once per task
-            made.append(encoder(sent.value))
-        encode = made[0].encode_ordinary
-        return {"tokens": [np.array(encode(t.decode("utf-8", "replace")), "<u2").tobytes() if t else b"" for t in texts]}
 
-    tokens = add_columns(docs.select(col(text).alias("text")), "text", "tokens binary", compute, drop=("text",))
+    def run(batches):
+        encode = encoder(sent.value).encode_ordinary
+        place = 0
+        for batch in batches:
+            for rows, texts in slices(batch, batch.column(1)):
+                tokens = [np.array(encode(t.decode("utf-8", "replace")), "<u2").tobytes() if t else b"" for t in texts]
+                keys = [base64.b64encode(k) if k is not None else NO_KEY for k in rows.column(0).cast(pa.binary()).to_pylist()]
+                at = pa.array(range(place, place + len(texts)), pa.int64())
+                place += len(texts)
+                for kind, values in (("tokens", tokens), ("keys", keys)):
+                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(texts)), at, pa.array(values, pa.binary())], ["kind", "place", "value"])
+
+    named = docs.select(col(key).cast("string").alias("key"), col(text).alias("text"))
+    lines = named.mapInArrow(run, "kind string, place long, value binary").sortWithinPartitions("kind", "place")
     mark = eod.to_bytes(WIDTH, "little").decode("latin-1")
-    tokens.select(F.col("tokens").cast("string").alias("value")).write.option("lineSep", mark).option("encoding", "ISO-8859-1").text(path)
+    out = lines.select("kind", F.col("value").cast("string").alias("value")).write.partitionBy("kind")
+    out.option("lineSep", mark).option("encoding", "ISO-8859-1").text(path)
+    return f"{path}/kind=tokens", f"{path}/kind=keys"
+
+
+def keys_of(spark: SparkSession, path: str, eod: int = EOD) -> DataFrame:
+    """(part, ordinal, key) of the key files under ``path``, the key as text."""
+    files = spark.read.format("binaryFile").load(path).select(part_of(F.col("path")).alias("part"), "content")
+    mark = eod.to_bytes(WIDTH, "little")
+
+    def read(batches):
+        for batch in batches:
+            for part, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = content.split(mark)[:-1]
+                for a in range(0, len(found), 50_000):
+                    own = [None if k == NO_KEY else base64.b64decode(k).decode() for k in found[a : a + 50_000]]
+                    n = len(own)
+                    yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int64()), pa.array(range(a, a + n), pa.int64()), pa.array(own, pa.string())], ["part", "ordinal", "key"])
+
+    return files.mapInArrow(read, "part long, ordinal long, key string")
+
+
+def part_of(path):
+    """The number of the task that wrote a file."""
+    return F.regexp_extract(path, r"part-(\d+)-", 1).cast("long")
 
 
 def blocks(spark: SparkSession, path: str, block: int = BLOCK, eod: int = EOD) -> DataFrame:
@@ -106,19 +141,15 @@ def documents(spark: SparkSession, path: str, block: int = BLOCK, eod: int = EOD
 def counted(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK, **options) -> DataFrame:
     """(key, part, ordinal, start, n_tokens) per row of ``docs``, written to flat files and scanned.
 
-    Files are matched to rows by partition and place in it, which a scan of the same files repeats; the
-    counts per file are compared, and a difference raises an error.
+    Documents find their keys in the key file that the same task wrote. A token file with more or fewer documents than keys raises an error.
     """
     spark = docs.sparkSession
-    path = scratch_path(spark)
-    write_flat(docs, path, text, **options)
-    found = documents(spark, path, block).withColumn("part", F.regexp_extract("file", r"part-(\d+)-", 1).cast("long"))
-    place = F.monotonically_increasing_id()
-    rows = docs.select(col(key).alias("_key"), place.alias("_place"))
-    rows = rows.select("_key", F.shiftrightunsigned("_place", 33).alias("_part"), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_ordinal"))
-    same = (F.col("part") == F.col("_part")) & (F.col("ordinal") == F.col("_ordinal"))
-    both = rows.join(found, same, "full_outer")
+    tokens, keys = write_flat(docs, scratch_path(spark), key, text, **options)
+    if docs.limit(1).count() == 0:
+        found, rows = spark.createDataFrame([], "part long, ordinal long, start long, n_tokens long, ended boolean"), spark.createDataFrame([], "part long, ordinal long, key string")
+    else:
+        found, rows = documents(spark, tokens, block).withColumn("part", part_of(F.col("file"))), keys_of(spark, keys)
+    both = rows.withColumn("_row", F.lit(True)).join(found, ["part", "ordinal"], "full_outer")
     lost = F.raise_error(F.lit("a token file does not hold the rows of its partition")).cast("long")
-    sound = F.col("_part").isNotNull() & F.col("part").isNotNull() & F.col("ended")
-    n_tokens = F.when(sound, F.col("n_tokens")).otherwise(lost)
-    return both.select(F.col("_key").alias(key), "part", "ordinal", "start", n_tokens.alias("n_tokens"))
+    n_tokens = F.when(F.col("_row") & F.col("ended"), F.col("n_tokens")).otherwise(lost)
+    return both.select(F.col("key").cast(docs.schema[key].dataType).alias(key), "part", "ordinal", "start", n_tokens.alias("n_tokens"))
