@@ -11,8 +11,8 @@ of the good documents are rejected by score.
 
 Defined cases: a null text has no words. A stratum without enough good labels gets no cutoff and keeps
 whatever passes the base rules; the null stratum is one of its own. Labels for absent documents, null
-labels and labels without a document are ignored. A document labelled more than once counts once per
-label. Without labels nothing is rejected by score. Result columns replace input columns of the same name.
+labels and labels without a document are ignored. The test needs independent documents: a document counts once however
+often it is labelled good, and equal texts of a stratum count once. Without labels nothing is rejected by score. Result columns replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulyard.llm.frames import COLLECTED_ROWS, add_columns, col
@@ -110,16 +110,23 @@ def binomial_tail(rejected: int, n: int, risk: float) -> float:
     return min(1.0, float(np.exp(choose + k * math.log(risk) + (n - k) * math.log1p(-risk)).sum()))
 
 
+def copy_of(text: str = "text") -> Column:
+    """A number that equal texts share."""
+    return F.xxhash64(F.coalesce(col(text), F.lit("")))
+
+
 def cutoffs(scored: DataFrame, labels: DataFrame, stratum: str, key: str = "doc_id", label: str = "quality", risk: float = RISK, error: float = ERROR) -> DataFrame:
     """The certified cutoff per stratum (stratum, n_good, n_rejected, cutoff); null where none is certified.
 
-    One aggregate counts, for every candidate, the good documents above it; the tests then run on one
+    Rows of ``scored`` with an equal ``copy`` (``copy_of``; without that column, an equal key) count once. One aggregate counts, for every candidate, the good documents above it; the tests then run on one
     row per stratum.
     """
-    good = labels.where((col(label) == 1) & col(key).isNotNull()).select(col(key).alias("_key"))
+    good = labels.where((col(label) == 1) & col(key).isNotNull()).select(col(key).alias("_key")).distinct()
+    copy = col("copy") if "copy" in scored.columns else F.xxhash64(col(key))
     over = [F.sum((F.col("score") > c).cast("long")).alias(f"over_{i}") for i, c in enumerate(CUTOFFS)]
-    held = scored.where(~F.col("base_failed")).select(col(key).alias("_key"), col(stratum).cast("string").alias("stratum"), "score")
-    counts = held.join(good, "_key").groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *over)
+    held = scored.where(~F.col("base_failed")).select(col(key).alias("_key"), col(stratum).cast("string").alias("stratum"), "score", copy.alias("copy"))
+    texts = held.join(good, "_key").groupBy("stratum", "copy").agg(F.min("score").alias("score"))
+    counts = texts.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *over)
     counts = materialise(counts)
     level = error / max(1, counts.count())
 
@@ -162,7 +169,7 @@ def judged(scored: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
 def filter_documents(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", stratum: str = "lang", **options) -> DataFrame:
     """``docs`` without those the rules reject, in the columns of ``docs``."""
     slim = docs.select(*[col(c) for c in dict.fromkeys((key, text, stratum))])
-    scored = materialise(with_signals(slim, text).drop(text))
+    scored = materialise(with_signals(slim.withColumn("copy", copy_of(text)), text).drop(text))
     limits = cutoffs(scored, labels, stratum, key, **options)
     packed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(text).alias("_text"), col(stratum).alias("_lang"))
     return judged(with_signals(packed, "_text"), limits, "_lang").where("kept").select("row.*")

@@ -35,7 +35,7 @@ def op1_decontaminate(spark, folder):
 
 @query
 def op2_quality(spark, folder):
-    scored = materialise(quality.with_signals(texts(spark, folder, "lang")).drop("text"))
+    scored = materialise(quality.with_signals(texts(spark, folder, "lang").withColumn("copy", quality.copy_of())).drop("text"))
     limits = quality.cutoffs(scored, table(spark, folder, "labels"), "lang")
     out = quality.judged(scored, limits, "lang")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score", "cutoff")

@@ -193,13 +193,17 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     return work.groupBy("band", "lump", "pair").applyInArrow(compare, "a long, b long")
 
 
+def class_of(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """(fingerprint, least, root) of the distinct fingerprints of ``prints``: least key, and the least fingerprint that links reach."""
+    one = materialise(prints.groupBy("fingerprint").agg(F.min("_key").alias("least")))
+    nets = components(links(one.select("fingerprint"), radius, tile))
+    return materialise(one.join(nets, one.fingerprint == nets.node, "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """(key, fingerprint, component_id) for every row of ``docs``; the component is its least key."""
     prints = materialise(with_fingerprint(docs.select(col(key).alias("_key"), col(text).alias("_text")), "_text", size).drop("_text"))
-    one = materialise(prints.groupBy("fingerprint").agg(F.min("_key").alias("least")))
-    nets = components(links(one.select("fingerprint"), radius, tile))
-    netted = one.join(nets, one.fingerprint == nets.node, "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    netted = materialise(netted)
+    netted = class_of(prints, radius, tile)
     heads = netted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = netted.join(heads, "root").select(F.col("fingerprint").alias("_print"), "component_id")
     out = prints.join(named, prints.fingerprint == named["_print"])
@@ -211,11 +215,20 @@ def hexadecimal(name: str = "fingerprint"):
     return F.lower(F.lpad(F.hex(name), 16, "0"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One document of each component: the one with the least key. Rows without a key are kept.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """One row of each component: one with the least key, null keys last.
 
-    Rows that repeat a kept key are all kept: the key names the document.
+    Rows are told apart by a number stored beside their fingerprint, not by their key: rows that share a key but not a
+    text are judged apart, and of exact copies under one key, or without keys, one row stays.
     """
-    grouped = classes(docs.where(col(key).isNotNull()), key, text, **options)
-    gone = grouped.where(col(key) != F.col("component_id")).select(col(key)).distinct()
-    return docs.join(gone, key, "left_anti").select(*[col(c) for c in docs.columns])
+    rest = [c for c in docs.columns if c != text]
+    packed = docs.select(F.struct(*[col(c) for c in rest]).alias("_rest"), col(key).alias("_key"), col(text).alias("_text"))
+    stored = materialise(with_fingerprint(packed, "_text", size).withColumn("_row", F.monotonically_increasing_id()))
+    prints = stored.select("_key", "_row", "fingerprint")
+    named = class_of(prints, radius, tile).select("fingerprint", "root")
+    # equal fingerprints become one row each before they meet their root, so a large group of copies stays small
+    rank = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), F.col("_row").alias("row"))
+    first = prints.groupBy("fingerprint").agg(F.min(rank).alias("first")).join(named, "fingerprint")
+    stay = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    own = [F.col("_text").alias(c) if c == text else F.col("_rest")[c].alias(c) for c in docs.columns]
+    return stored.join(stay, "_row", "left_semi").select(*own)

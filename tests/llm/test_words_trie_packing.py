@@ -1,5 +1,6 @@
 """Spelling variants, the conversation trie and packing against plain versions."""
 
+import functools
 import random
 import struct
 import zlib
@@ -10,9 +11,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from haulyard.llm import packing, spelling, trie
+from haulyard.llm import packing, quality, simhash, spelling, token_counts, trie
 from haulyard.llm.frames import table
+from haulyard.llm.oracles import ORACLES
 from haulyard.llm.queries import QUERIES
+from tools.check import compare, connection
 
 CLASHES = "doc_id long, text string, word string, n long, length int, piece string, sequence_id string"
 
@@ -166,10 +169,15 @@ def test_two_fit_uses_fewer_sequences_than_greedy():
     assert used == Counter(counts) and all(sum(own) <= 100 for _, own in steps)
 
 
-def plain_ids(text):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(packing.vocabulary_path()).encode(text or "", add_special_tokens=False).ids + [0]
+    return Tokenizer.from_file(packing.vocabulary_path())
+
+
+def plain_ids(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 TEXTS = [
@@ -227,3 +235,53 @@ def test_packing_of_odd_rows_in_many_tasks(spark):
     texts = Counter(zlib.crc32(r.ids[4 * a : 4 * (a + n)]) for r in out for a, n in zip(np.cumsum([0, *r.lengths]).tolist(), r.lengths))
     assert texts == Counter(r.ids_crc32 for r in placed.collect())
     assert packing.packed(frame(spark, [], CLASHES)).collect() == []
+
+
+# ---- registered queries with SQL, and repeated or shuffled rows -------------------------------
+
+
+@pytest.fixture(scope="module")
+def duck(data):
+    return connection(data)
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_query_equals_its_sql(spark, duck, data, name):
+    assert compare(spark, duck, name, data).startswith("ok")
+
+
+@pytest.mark.parametrize("shuffled", ["groupBy", "dropDuplicates", "repartition", "join"])
+def test_token_counts_of_shuffled_rows(spark, shuffled):
+    docs = frame(spark, [(i, f"w{i} " * (1 + i % 50)) for i in range(1000)])
+    made = {
+        "groupBy": lambda: docs.groupBy("doc_id").agg(F.max("text").alias("text")),
+        "dropDuplicates": lambda: docs.union(docs).dropDuplicates(["doc_id"]),
+        "repartition": lambda: docs.repartition(6),
+        "join": lambda: docs.join(docs.select("doc_id").where("doc_id % 2 = 0"), "doc_id"),
+    }[shuffled]()
+    encode = token_counts.encoder(open(token_counts.VOCABULARY, "rb").read()).encode_ordinary
+    got = {r.doc_id: r.n_tokens for r in token_counts.counted(made, block=64).collect()}
+    ids = range(0, 1000, 2 if shuffled == "join" else 1)
+    assert got == {i: len(encode(f"w{i} " * (1 + i % 50))) for i in ids}
+
+
+def test_keep_one_judges_rows_not_keys(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, c), (None, "no key " * 30), (None, "no key " * 30), (9, None), (8, "")]
+    wide = frame(spark, [(*r, "s", "f") for r in rows], "doc_id long, text string, source string, fingerprint string").repartition(3)
+    kept = simhash.keep_one(wide)
+    assert kept.columns == wide.columns
+    got = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (5, b), (7, c), (None, "no key " * 30), (8, "")], key=repr)
+
+
+def test_repeated_labels_and_copies_prove_nothing(spark):
+    rows = [(i, "en", 0.0, False, i) for i in range(60)]
+    schema = "doc_id long, lang string, score double, base_failed boolean, copy long"
+    labels = frame(spark, [(i, 1) for i in range(60)] * 5, "doc_id long, quality int")
+    assert quality.cutoffs(frame(spark, rows, schema), labels, "lang").first().cutoff is None
+    copies = [(i, "en", 0.0, False, i % 60) for i in range(600)]
+    labels = frame(spark, [(i, 1) for i in range(600)], "doc_id long, quality int")
+    assert quality.cutoffs(frame(spark, copies, schema), labels, "lang").first().cutoff is None
+    apart = frame(spark, [(*r[:4], r[0]) for r in copies], schema)
+    assert quality.cutoffs(apart, labels, "lang").first().cutoff is not None
