@@ -541,3 +541,18 @@ ORACLES["published_metrics"] = f"""WITH {IOT_FLAG}, {BK_LARGE}, fk AS ({FLEET} F
     UNION ALL SELECT 'DelayRate', delay_rate_pct, 'Percent', 'Delivery=Delivery' FROM dk
     UNION ALL SELECT 'TotalOrders', CAST(total_orders AS DOUBLE), 'Count', 'Delivery=Delivery' FROM dk
     UNION ALL SELECT 'TotalRevenue', total_revenue_inr, 'Count', 'Delivery=Delivery' FROM dk) SELECT * FROM m"""
+
+SENSORS = ["speed_kmh", "fuel_level_pct", "engine_rpm", "battery_voltage", "tyre_pressure_psi", "cargo_weight_kg", "engine_health_score", "fuel_efficiency_kmpl"]
+LOF_POINTS = ", ".join(f"round_even(({c} - m_{c}) / (CASE WHEN d_{c} = 0 THEN 1e0 ELSE d_{c} END) * 1e6, 0) AS {c}" for c in SENSORS)
+LOF_D2 = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in SENSORS)
+ORACLES["lof"] = f"""WITH {IOT_FEAT}, st AS (SELECT vehicle_tier AS tier, {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in SENSORS)} FROM iot_feat GROUP BY 1),
+  pt AS (SELECT vehicle_tier AS tier, event_id, {LOF_POINTS} FROM iot_feat JOIN st ON vehicle_tier = tier),
+  e AS (SELECT a, b, sqrt(d2) AS d FROM (SELECT p.event_id AS a, q.event_id AS b, {LOF_D2} AS d2 FROM pt p JOIN pt q ON p.tier = q.tier AND p.event_id <> q.event_id)
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY d2, b) <= 20),
+  kd AS (SELECT a AS b, max(d) AS far FROM e GROUP BY 1),
+  dn AS (SELECT a, 1e0 / (avg(greatest(far, d)) + 1e-10) AS density FROM e JOIN kd USING (b) GROUP BY a),
+  f AS (SELECT e.a AS event_id, avg(nb.density) / any_value(dn.density) AS lof FROM e JOIN dn nb ON nb.a = e.b JOIN dn ON dn.a = e.a GROUP BY e.a),
+  s AS (SELECT tier, event_id, lof FROM pt LEFT JOIN f USING (event_id)),
+  cuts AS (SELECT tier, CASE tier WHEN 'OLD' THEN quantile_cont(-lof, 0.09) WHEN 'MID' THEN quantile_cont(-lof, 0.05) WHEN 'NEW' THEN quantile_cont(-lof, 0.02)
+    ELSE quantile_cont(-lof, 0.05) END AS cut FROM s GROUP BY 1)
+  SELECT tier, event_id, {rnd("lof", 4)} AS lof, CASE WHEN -lof < cut THEN 1 ELSE 0 END AS lof_anomaly FROM s JOIN cuts USING (tier)"""

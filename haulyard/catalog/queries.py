@@ -664,7 +664,9 @@ def iforest_rates(spark, folder):
 
 @query
 def lof(spark, folder):
-    return anomaly.lof_flags(materialise(featured_iot(spark, folder)), ["event_id"])
+    """Outlier factor and flag of every reading."""
+    flagged = anomaly.lof_flags(materialise(featured_iot(spark, folder)), ["event_id"])
+    return flagged.select("tier", "event_id", rounded("lof", 4).alias("lof"), "lof_anomaly")
 
 
 @query
