@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from haulyard.constants import DECISION_THRESHOLD, DELAY_CATEGORIES, DELAY_FEATURES, SPLIT_SEED
 from haulyard.functions.columns import flag, rounded
 from haulyard.operators import metrics, sampling, scaling
+from haulyard.operators.boosting import Booster
 from haulyard.operators.encode import label_encode
 from haulyard.plans import bookings as booking_plan
 from haulyard.session import materialise
@@ -34,7 +35,7 @@ class Settings:
     rounds: int = 300
     step: float = 0.05
     depth_a: int = 6
-    depth_b: int = 5
+    leaves_b: int = 31
     trees: int = 200
     forest_depth: int = 15
     test_share: float = 0.20
@@ -42,7 +43,7 @@ class Settings:
     threshold: float = DECISION_THRESHOLD
 
 
-QUICK = Settings(rounds=2, step=0.5, depth_a=4, depth_b=3, trees=5, forest_depth=4)
+QUICK = Settings(rounds=2, step=0.5, depth_a=4, leaves_b=8, trees=5, forest_depth=4)
 
 
 @dataclass
@@ -88,8 +89,8 @@ def _vectors(df: DataFrame, scaler: dict) -> DataFrame:
 def train(features: DataFrame, keys: list[str], settings: Settings = Settings(), only: list[str] | None = None) -> Trained:
     """Fit the three classifiers and score the test part.
 
-    Boosted models use scaled columns, a positive-class weight and a validation part for early
-    stopping (on loss); the forest uses plain columns and balanced class weights.
+    Boosted models use scaled columns, a positive-class weight and a validation part, whose area under the curve
+    stops them: A grows level by level to a depth, B leaf by leaf to a number of leaves. The forest uses plain columns and balanced class weights.
     """
     train_part, test_part = split_and_balance(features, keys, settings)
     out = Trained(scaler=scaling.fit_scaler(train_part, DELAY_FEATURES))
@@ -108,19 +109,12 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
     # tree growing passes over its rows many times: a table of few files is dealt out to all tasks
     tasks = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fit_part = _vectors(weighted, out.scaler).select(*kept, "plain", "scaled").repartition(tasks)
+    fit_part = materialise(fit_part)
     test_part = _vectors(test_part, out.scaler).select(*keys, "target", "plain", "scaled")
-    boosted = dict(
-        featuresCol="scaled",
-        labelCol="target",
-        weightCol="positive_weight",
-        validationIndicatorCol="is_validation",
-        maxIter=settings.rounds,
-        stepSize=settings.step,
-        seed=SPLIT_SEED,
-    )
+    boosted = dict(features="scaled", label="target", weight="positive_weight", rounds=settings.rounds, step=settings.step)
     estimators = {
-        "Boosted A": GBTClassifier(maxDepth=settings.depth_a, **boosted),
-        "Boosted B": GBTClassifier(maxDepth=settings.depth_b, minInstancesPerNode=20, **boosted),
+        "Boosted A": Booster(leaves=2**settings.depth_a, depth=settings.depth_a, ridge=1.0, least_rows=1, least_curvature=1.0, **boosted),
+        "Boosted B": Booster(leaves=settings.leaves_b, **boosted),
         "Random Forest": RandomForestClassifier(
             featuresCol="plain",
             labelCol="target",
