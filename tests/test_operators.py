@@ -208,3 +208,19 @@ def test_confusion_and_report_on_empty_and_one_sided(spark):
 def test_model_choice_breaks_ties_by_name(spark):
     rows = [("b", 70.0, 50.0), ("a", 70.0, 50.0), ("c", 60.0, 50.0)]
     assert metrics.select_best(spark.createDataFrame(rows, "model string, auc_pct double, recall_pct double")).first()["model"] == "a"
+
+
+def test_label_ranks_are_spread_over_parts(spark):
+    rows = [("a", f"l{i * 7919 % 3000}") for i in range(3000)] + [("b", t) for t in ("é", "Z", "a", "", "nan")]
+    distinct = spark.createDataFrame(rows, "column string, label string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        codes = encode.ranked(distinct)
+        plan = codes._jdf.queryExecution().executedPlan().toString()
+        got = codes.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for column in ("a", "b"):
+        names = sorted(t for c, t in rows if c == column)
+        assert {r["label"]: r["code"] for r in got if r["column"] == column} == {t: float(i) for i, t in enumerate(names)}
+    assert plan.count("Window") and "hashpartitioning(column#" in plan and "_part#" in plan.split("hashpartitioning(column#")[1][:40]
