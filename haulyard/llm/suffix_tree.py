@@ -8,15 +8,15 @@ successors seen at least ``LEAST_PAIR`` times; each is smoothed with the suffix'
 over all other tokens in proportion to the suffix's distribution, so every state's probabilities sum to one. A token is
 scored in the state of its longest context that the tree has.
 
-The counts are fixed numbers, so the tree grows with the corpus, and levels are added until one has no state. Neither
-states nor successors are ever held in one place: they are tables, joined to the contexts and successors that each
-part of the corpus has, as the vocabulary is. A successor kept by a state is kept by its suffix too, so the suffix's
-probability is found by one join with the level below.
-
-Texts are encoded once: per part (at most ``PART_BYTES`` of text, inside one task) the different words, as 64-bit
-hashes, and the texts as numbers into that list, compressed. A word, context or successor crosses the network once per part,
-not once per occurrence, so the most frequent make no skew. A longer context is named by a 64-bit hash of its suffix's
-name and the word before.
+The counts are fixed numbers, so the tree grows with the corpus, and levels are added until one has no state. The texts
+stay in parts (at most ``PART_BYTES`` of text, or one text), encoded once: the different words as 64-bit hashes and the texts as
+numbers into that list, compressed. Per level a part sends the 64-bit name of every different (context, successor) once, with its
+own count, in packed arrays by ranges of names; whoever holds a range adds the counts up and answers each part in the order it
+asked, and marks for each name one part as its owner. So no name or successor is ever gathered by context, and frequent words
+make no skew. Owners add the divergence's terms up per context; states are the contexts whose sums pass, sent to the parts that
+have them. A context seen too rarely is known from the counts of the level before (its first tokens and its last), and no
+longer context that contains it is asked for. Between levels a part keeps the tokens that may still go deeper, with their scores.
+A context is named by a 64-bit hash of its suffix's name and the word before.
 
 Defined cases: a null or empty text is one end token. Rows are held out by their key's checksum; a null key
 counts as the empty text. Without training tokens every c is 0. Repeated rows are each counted and scored.
@@ -24,27 +24,27 @@ counts as the empty text. Without training tokens every c is 0. Repeated rows ar
 
 from __future__ import annotations
 
+import pickle
 import zlib
-from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from haulyard.llm.frames import col, slices
-from haulyard.session import materialise
+from haulyard.session import scratch_path
 
 LEAST_CONTEXT = 10
 LEAST_PAIR = 2
 DIVERGENCE = 0.02
 SMOOTHING = 2.0  # tokens of the suffix's distribution added to a state's counts
 FOLDS, HELD_OUT = 5, 1
-PART_BYTES = 12 << 20
-CHUNK = 1 << 18  # tokens worked on at once, but whole texts
+PART_BYTES = 8 << 20
+RANGE_TOKENS = 1 << 20  # tokens of the corpus per range of names
 END = xxh64_intdigest(b"\n")  # no word has a line end in it
 
 CODES = "part long, keys array<{key}>, held array<boolean>, lengths array<int>, words array<long>, counts array<long>, tokens binary"
@@ -118,23 +118,6 @@ class Row:
         size = int(self.lengths.sum()) * 4
         self.tokens = np.frombuffer(pa.decompress(columns["tokens"][0].as_buffer(), size, "zstd"), np.uint32)
 
-    def chunks(self, limit: int = CHUNK):
-        """(first text, last text, tokens, position in its text of each) for runs of whole texts of about ``limit`` tokens."""
-        ends = np.cumsum(self.lengths)
-        first = 0
-        while first < len(ends):
-            begin = int(ends[first] - self.lengths[first])
-            last = max(first + 1, int(np.searchsorted(ends, begin + limit, "right")))
-            lengths = self.lengths[first:last]
-            tokens = self.tokens[begin : int(ends[last - 1])].astype(np.int64)
-            yield first, last, tokens, np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            first = last
-
-
-def rows_of(batch) -> Iterator[Row]:
-    for i in range(batch.num_rows):
-        yield Row({n: batch.column(n).slice(i, 1) for n in batch.schema.names})
-
 
 def longer(suffix: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The names of the contexts that are ``word`` and then the context named ``suffix``."""
@@ -144,295 +127,306 @@ def longer(suffix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def contexts(words: np.ndarray, tokens: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Level by level the name of the context before each token, and whether the text reaches so far back.
+def packed(**arrays: np.ndarray) -> bytes:
+    return pickle.dumps({k: (a.dtype.str, a.nbytes, pa.compress(a.tobytes(), "zstd", asbytes=True)) for k, a in arrays.items()})
 
-    The end mark, number 0, stands before a text.
-    """
-    name = None
-    for back in count(1):
-        token = np.zeros(len(tokens), np.int64)
-        token[back:] = tokens[:-back] if back < len(tokens) else tokens[:0]
-        token[place < back] = 0
-        name = words[token] if name is None else longer(name, words[token])
-        yield name, place >= back - 1
 
+def unpacked(data: bytes) -> dict[str, np.ndarray]:
+    return {k: np.frombuffer(pa.decompress(z, size, "zstd"), kind) if size else np.empty(0, kind) for k, (kind, size, z) in pickle.loads(data).items()}
 
-def summed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different keys and how often each occurs."""
-    keys = np.sort(keys)
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[starts], np.diff(np.append(starts, len(keys)))
 
+ASKED = pa.schema([("range", pa.int32()), ("in_part", pa.int64()), ("names", pa.binary())])
+QUESTION = "range int, in_part long, names binary"
+MESSAGE = "in_part long, kind string, range int, data binary"
 
-def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``wanted`` in the sorted ``known`` and whether they are there."""
-    if not len(known):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-    return at, known[at] == wanted
-
-
-def _read(part: pa.Table) -> Row:
-    return Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
 
+def asked(part: int, ranges: int, names: np.ndarray, **values: np.ndarray) -> pa.Table:
+    """A row per range of names: the names in order and what the part has for each."""
+    order = np.argsort(names)
+    names = names[order]
+    values = {k: v[order] for k, v in values.items()}
+    of = ((names >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int32)
+    used, starts = np.unique(of, return_index=True)
+    ends = np.append(starts[1:], len(of))
+    rows = [packed(names=names[a:b], **{k: v[a:b] for k, v in values.items()}) for a, b in zip(starts, ends)]
+    return pa.table([pa.array(used, pa.int32()), pa.array(np.full(len(used), part, np.int64)), pa.array(rows, pa.binary())], ASKED)
 
-def _sorted(table: pa.Table, name: str) -> np.ndarray:
-    return np.sort(table[name].to_numpy())
 
+class Range:
+    """What all parts ask of one range of names, brought together in the order of the parts."""
 
-def _deepest(row: Row, tokens, place, depth: int, below: np.ndarray | None):
-    """Names of the contexts of ``depth`` tokens and of their suffixes, and where they are there with a state for a suffix."""
-    suffix = np.zeros(len(tokens), np.int64)
-    for level, (name, there) in zip(range(1, depth + 1), contexts(row.words, tokens, place)):
-        if level < depth:
-            suffix = name
-    return name, suffix, there if below is None else there & _find(below, suffix)[1]
-
-
-def _counts(row: Row, depth: int, below: np.ndarray | None) -> pa.Table:
-    """(ctx, sub, sym, n) of the training texts; without a sym the context's own count."""
-    out = []
-    width = len(row.words)
-    for first, last, tokens, place in row.chunks():
-        name, suffix, ok = _deepest(row, tokens, place, depth, below)
-        ok &= ~np.repeat(row.held[first:last], row.lengths[first:last])
-        names, at, number = np.unique(name[ok], return_index=True, return_inverse=True)
-        subs = suffix[ok][at]
-        code, n = summed(number * np.int64(width) + tokens[ok])
-        of = code // width
-        out.append(pa.table([pa.array(names[of]), pa.array(subs[of]), pa.array(row.words[code % width]), pa.array(n)], COUNTED))
-        out.append(pa.table([pa.array(names), pa.array(subs), pa.nulls(len(names), pa.int64()), pa.array(np.bincount(number, minlength=len(names)).astype(np.int64))], COUNTED))
-    return pa.concat_tables(out) if out else COUNTED.empty_table()
+    def __init__(self, rows: pa.Table):
+        self.rows = rows.sort_by("in_part")
+        found = [unpacked(data) for data in self.rows["names"].to_pylist()]
+        self.values = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
+        names = self.values.pop("names")
+        self.ends = np.cumsum([len(f["names"]) for f in found])
+        self.order = np.argsort(names, kind="stable")
+        ordered = names[self.order]
+        self.first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        self.starts = np.flatnonzero(self.first)
 
+    def sums(self, name: str) -> np.ndarray:
+        return np.add.reduceat(self.values[name][self.order], self.starts)
 
-def _count(codes: DataFrame, depth: int, alive: DataFrame | None) -> DataFrame:
-    """(ctx, sub, sym, n) over the training tokens, where the suffix ``sub`` is a state (``alive``: those each part has)."""
-    schema = "ctx long, sub long, sym long, n long"
-    slim = codes.select("part", "held", "lengths", "words", "tokens")
-    if alive is None:
-
-        def run(batches):
-            for batch in batches:
-                for row in rows_of(batch):
-                    yield from _counts(row, depth, None).to_batches(1 << 18)
-
-        raw = slim.drop("part").mapInArrow(run, schema)
-    else:
-        raw = slim.groupBy("part").cogroup(alive.groupBy("in_part")).applyInArrow(lambda part, known: _counts(_read(part), depth, _sorted(known, "ctx")) if part.num_rows and known.num_rows else COUNTED.empty_table(), schema)
-    return raw.groupBy("ctx", "sub", "sym").agg(F.sum("n").alias("n"))
-
-
-def _present(codes: DataFrame, depth: int, alive: DataFrame | None) -> DataFrame:
-    """(in_part, ctx): the different contexts of ``depth`` tokens of each part, where the suffix is a state."""
-    if depth == 1:
-        return codes.select(F.col("part").alias("in_part"), F.explode("words").alias("ctx"))
-    schema = pa.schema([("in_part", pa.int64()), ("ctx", pa.int64())])
-
-    def run(part, known):
-        if not (part.num_rows and known.num_rows):
-            return schema.empty_table()
-        row, below, found = _read(part), _sorted(known, "ctx"), []
-        for _, _, tokens, place in row.chunks():
-            name, _, ok = _deepest(row, tokens, place, depth, below)
-            found.append(np.unique(name[ok]))
-        found = np.unique(np.concatenate(found))
-        return pa.table([pa.array(np.full(len(found), part["part"][0].as_py(), np.int64)), pa.array(found)], schema)
-
-    slim = codes.select("part", "held", "lengths", "words", "tokens")
-    return slim.groupBy("part").cogroup(alive.groupBy("in_part")).applyInArrow(run, "in_part long, ctx long")
-
-
-COUNTED = pa.schema([("ctx", pa.int64()), ("sub", pa.int64()), ("sym", pa.int64()), ("n", pa.int64())])
-
-
-class Level:
-    """States of one length: kept successors with their probabilities, and the weight of all others.
-
-    ``contexts`` are the sorted names of the states, ``pairs`` the sorted codes state * width + symbol.
-    """
-
-    def __init__(self, contexts, weights, pairs, logs):
-        self.contexts, self.weights, self.pairs, self.logs = contexts, weights, pairs, logs
-
-    @classmethod
-    def of(cls, words: np.ndarray, ctx, weight, pair_ctx, pair_sym, log) -> Level:
-        """From tables of states and successors; ``words`` sorted."""
-        order = np.argsort(ctx)
-        ctx = ctx[order]
-        state, known = _find(ctx, pair_ctx)
-        sym, there = _find(words, pair_sym)
-        ok = known & there
-        code = state[ok] * np.int64(len(words) or 1) + sym[ok]
-        by = np.argsort(code)
-        return cls(ctx, weight[order], code[by], log[ok][by])
-
-    def lift(self, score: np.ndarray, name: np.ndarray, there: np.ndarray, sym: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """The scores in this level's states where there is one, and where that is."""
-        state, known = _find(self.contexts, name)
-        known &= there
-        pair, kept = _find(self.pairs, np.where(sym >= 0, state * np.int64(width) + sym, -1))
-        lifted = np.where(kept, self.logs[pair] if len(self.logs) else 0.0, score + (self.weights[state] if len(self.weights) else 0.0))
-        return np.where(known, lifted, score), known
-
-
-class Tree:
-    """Sorted words, the levels above the root, and the totals the root needs: of a whole small corpus, or what one part needs."""
-
-    def __init__(self, words, levels, n_tokens, n_words):
-        self.words, self.levels, self.n_tokens, self.n_words = words, levels, n_tokens, n_words
-
-    def climb(self, score: np.ndarray, sym: np.ndarray, *before: np.ndarray) -> np.ndarray:
-        """From the root's log-probabilities up to those of the longest states; ``before`` are the places of the words before, or -1."""
-        name, there = None, np.ones(len(sym), bool)
-        for level, place in zip(self.levels, before):
-            there = there & (place >= 0)
-            word = self.words[np.maximum(place, 0)]
-            name = word if name is None else longer(name, word)
-            score, there = level.lift(score, name, there, sym, len(self.words) or 1)
-        return score
-
-
-def vocabulary(codes: DataFrame) -> DataFrame:
-    """(word, c, parts): training counts of all words, and in how many parts each occurs."""
-    each = codes.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts")
-    return each.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("c"), F.count(F.lit(1)).alias("parts"))
-
-
-def totals_of(words: DataFrame) -> tuple[int, int]:
-    """Training tokens and different words in them."""
-    row = words.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    return int(row.n or 0), int(row.v)
+    def spread(self, per_name: np.ndarray) -> np.ndarray:
+        """A value per name, at all its places."""
+        out = np.empty(len(self.order), per_name.dtype)
+        out[self.order] = per_name[np.cumsum(self.first) - 1]
+        return out
 
+    def reply(self, n_all: int, n_seen: int, **values: np.ndarray) -> pa.Table:
+        """The values back to each part; the totals of the range stand in its first row."""
+        pieces = [packed(**{k: v[a:b] for k, v in values.items()}) for a, b in zip(np.append(0, self.ends), self.ends)]
+        lead = np.arange(len(pieces)) == 0
+        return pa.table({
+            "in_part": self.rows["in_part"], "range": self.rows["range"], "data": pa.array(pieces, pa.binary()),
+            "n_all": pa.array(np.where(lead, n_all, 0), pa.int64()), "n_seen": pa.array(np.where(lead, n_seen, 0), pa.int64()),
+        })
 
-def grown(codes: DataFrame, words: DataFrame, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR, divergence: float = DIVERGENCE) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
-    """Per level, until one has no state: states (ctx, weight), successors (ctx, sym, p), and (in_part, ctx, weight) of the parts' states."""
-    n_tokens, n_words = totals_of(words)
-    levels, alive = [], None
-    below = words.where("c > 0").select(F.col("word").alias("sym"), ((F.col("c") + 0.5) / (n_tokens + 0.5 * (n_words + 1))).alias("q"))
-    for depth in count(1):
-        enough = F.when(F.col("sym").isNull(), F.col("n") >= least_context).otherwise(F.col("n") >= least_pair)
-        seen = materialise(_count(codes, depth, alive).where(enough))
-        total = seen.where("sym is null").select("ctx", F.col("n").alias("total"))
-        pairs = seen.where("sym is not null").join(total, "ctx")
-        rated = materialise(pairs.join(below, ["sym"] if depth == 1 else ["sub", "sym"]).select("ctx", "sym", "n", "total", "q"))
-        sums = rated.groupBy("ctx").agg(F.sum("n").alias("kept"), F.sum("q").alias("below"), F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("g"), F.max("total").alias("total"))
-        rest, other = (F.col("total") - F.col("kept")) / F.col("total"), F.greatest(1 - F.col("below"), F.lit(1e-12))
-        gain = (F.col("g") - F.col("kept") * F.log("total")) / F.col("total") + F.when(rest > 0, rest * F.log(rest / other)).otherwise(0.0)
-        mass = (F.col("kept") + SMOOTHING * F.col("below")) / (F.col("total") + SMOOTHING)
-        weight = F.log10(F.greatest(1 - mass, F.lit(1e-12)) / other)
-        states = materialise(sums.where(gain >= divergence).select("ctx", weight.alias("weight")))
-        if states.isEmpty():
-            return levels
-        smooth = (F.col("n") + SMOOTHING * F.col("q")) / (F.col("total") + SMOOTHING)
-        kept = materialise(rated.join(states.select("ctx"), "ctx").select("ctx", "sym", smooth.alias("p")))
-        alive = materialise(_present(codes, depth, alive).join(states, "ctx").select("in_part", "ctx", "weight"))
-        levels.append((states, kept, alive))
-        below = kept.select(F.col("ctx").alias("sub"), "sym", F.col("p").alias("q"))
-
-
-def learn(codes: DataFrame, words: DataFrame, **options) -> Tree:
-    """The whole tree of a corpus small enough for the driver; ``score`` does without."""
-    known = np.sort(words.where("c > 0").select("word").toArrow()["word"].to_numpy())
-    levels = []
-    for states, kept, _ in grown(codes, words, **options):
-        s, k = states.toArrow(), kept.toArrow()
-        levels.append(Level.of(known, s["ctx"].to_numpy(), s["weight"].to_numpy(), k["ctx"].to_numpy(), k["sym"].to_numpy(), np.log10(k["p"].to_numpy())))
-    return Tree(known, levels, *totals_of(words))
-
-
-def _wanted(codes: DataFrame, alive: DataFrame) -> DataFrame:
-    """(in_part, depth, ctx, sym): the different successors of the states of each part, kept ones or not."""
-    schema = pa.schema([("in_part", pa.int64()), ("depth", pa.int32()), ("ctx", pa.int64()), ("sym", pa.int64())])
-
-    def run(part, known):
-        if not (part.num_rows and known.num_rows):
-            return schema.empty_table()
-        row, out = _read(part), []
-        states = _by_depth(known)
-        width = np.int64(len(row.words))
-        codes_of = [[] for _ in states]
-        for _, _, tokens, place in row.chunks():
-            on = np.ones(len(tokens), bool)
-            for i, ((ctx, _), (name, there)) in enumerate(zip(states, contexts(row.words, tokens, place))):
-                state, found = _find(ctx, name)
-                on = on & there & found
-                codes_of[i].append(np.unique(state[on] * width + tokens[on]))
-        for i, ((ctx, _), found) in enumerate(zip(states, codes_of)):
-            code = np.unique(np.concatenate(found))
-            out.append(pa.table([pa.array(np.full(len(code), part["part"][0].as_py(), np.int64)), pa.array(np.full(len(code), i + 1, np.int32)), pa.array(ctx[code // width]), pa.array(row.words[code % width])], schema))
-        return pa.concat_tables(out)
-
-    slim = codes.select("part", "held", "lengths", "words", "tokens")
-    return slim.groupBy("part").cogroup(alive.groupBy("in_part")).applyInArrow(run, "in_part long, depth int, ctx long, sym long")
-
-
-def _by_depth(known: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per level the sorted names of the states and their weights."""
-    depth, ctx, weight = (known[n].to_numpy() for n in ("depth", "ctx", "weight"))
-    out = []
-    for d in range(1, int(depth.max()) + 1):
-        here = np.flatnonzero(depth == d)
-        here = here[np.argsort(ctx[here])]
-        out.append((ctx[here], weight[here]))
-    return out
-
-
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes: int = PART_BYTES, **options) -> DataFrame:
+
+def _add_up(rows: pa.Table) -> pa.Table:
+    """Per asking part the counts of its names over all parts, and which names it owns: the least part that has one."""
+    asked = Range(rows)
+    n, own = asked.sums("n"), np.zeros(len(asked.order), bool)
+    own[asked.order[asked.starts]] = True
+    return asked.reply(n.sum(), (n > 0).sum(), n=asked.spread(n), own=own)
+
+
+def _decide(least_context: int, divergence: float):
+    def run(rows: pa.Table) -> pa.Table:
+        """Per asking part the counts of its contexts, and the weight of what a state does not keep; no number if it is none."""
+        asked = Range(rows)
+        total, pairs, kept, below, g = (asked.sums(k) for k in ("n", "pairs", "kept", "below", "g"))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rest, other = (total - kept) / total, np.maximum(1 - below, 1e-12)
+            gain = (g - kept * np.log(total)) / total + np.where(rest > 0, rest * np.log(rest / other), 0.0)
+            weight = np.log10(np.maximum(1 - (kept + SMOOTHING * below) / (total + SMOOTHING), 1e-12) / other)
+        state = (total >= least_context) & (pairs > 0) & (gain >= divergence)
+        return asked.reply(total.sum(), state.sum(), n=asked.spread(total), weight=asked.spread(np.where(state, weight, np.nan)))
+
+    return run
+
+
+def answers(questions: DataFrame, reply=_add_up) -> DataFrame:
+    return questions.groupBy("range").applyInArrow(reply, "in_part long, range int, data binary, n_all long, n_seen long")
+
+
+def message(df: DataFrame, kind: str) -> DataFrame:
+    """Rows addressed to parts, in the columns all kinds share."""
+    fields = [f.split() for f in MESSAGE.split(", ")]
+    return df.select(*(F.lit(kind).alias(n) if n == "kind" else (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in fields))
+
+
+class Work:
+    """A part at one depth: the tokens that may still go deeper, with what the levels before say of them."""
+
+    def __init__(self, part: pa.Table, mail: pa.Table, depth: int, n_tokens: int, n_words: int, least_context: int):
+        self.number = part["part"][0].as_py()
+        self.row = row = Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
+        self.depth, self.least_context = depth, least_context
+        self.mail = {kind: mail.filter(pa.array([k == kind for k in kinds], pa.bool_())) for kinds in [mail["kind"].to_pylist()] for kind in ("words", "pairs", "state", "states")}
+        ends = np.cumsum(row.lengths)
+        self.starts = ends - row.lengths
+        self.tokens = row.tokens
+        if self.mail["state"].num_rows:
+            state = unpacked(self.mail["state"]["data"][0].as_py())
+            self.at = np.cumsum(state["gaps"].astype(np.int64))
+            self.score, self.base, self.known, self.sums = state["score"], state["base"], state["known"], state["sums"].copy()
+            self.small = np.unpackbits(state["small"], count=len(self.tokens)).astype(bool)
+        else:
+            names = row.words.view(np.uint64)
+            counts = np.empty(len(names), np.int64)
+            counts[np.argsort(names)] = self.told("words")["n"]
+            base = np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
+            score = base[self.tokens]
+            self.base, self.known = np.add.reduceat(score, self.starts), np.add.reduceat((counts > 0).astype(np.int64)[self.tokens], self.starts)
+            self.at = np.arange(len(self.tokens))
+            self.sums = np.zeros(len(self.starts))
+            self.small = (counts < least_context)[self.before(self.at, 1)]
+            self.settle(score, ~self.small)
+
+    def told(self, kind: str) -> dict[str, np.ndarray]:
+        """The answers to this part's names in their order."""
+        found = [unpacked(data) for data in self.mail[kind].sort_by("range")["data"].to_pylist()]
+        return {k: np.concatenate([f[k] for f in found]) for k in found[0]}
+
+    def text_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, at, "right") - 1
+
+    def before(self, at: np.ndarray, back: int) -> np.ndarray:
+        """The token ``back`` places before each; the end mark, number 0, stands before a text."""
+        token = self.tokens[np.maximum(at - back, 0)].astype(np.int64)
+        token[at - self.starts[self.text_of(at)] < back] = 0
+        return token
+
+    def settle(self, score: np.ndarray, on: np.ndarray) -> None:
+        """Tokens that are not ``on`` have their last score."""
+        self.sums += np.bincount(self.text_of(self.at[~on]), score[~on], len(self.sums))
+        self.at, self.score = self.at[on], score[on]
+
+    def group(self) -> None:
+        """Number the different contexts of this depth and their pairs with successors."""
+        words, width = self.row.words, np.int64(len(self.row.words))
+        own = self.before(self.at, 1)
+        if self.depth == 1:
+            self.ctx, self.ctx_at = words, own
+        else:
+            name = words[own]
+            for back in range(2, self.depth + 1):
+                name = longer(name, words[self.before(self.at, back)])
+            self.ctx, self.ctx_at = np.unique(name, return_inverse=True)
+        code = self.ctx_at * width + self.tokens[self.at]
+        order = np.argsort(code)
+        ordered = code[order]
+        first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        starts = np.flatnonzero(first)
+        self.pair_at = np.empty(len(code), np.int64)
+        self.pair_at[order] = np.cumsum(first) - 1
+        self.pair_ctx, sym = ordered[starts] // width, ordered[starts] % width
+        self.names = longer(self.ctx[self.pair_ctx], words[sym]).view(np.uint64)
+        self.train = ~self.row.held[self.text_of(self.at)]
+        self.n = np.bincount(self.pair_at[self.train], minlength=len(starts))
+        self.one = order[starts]  # a token of each pair
+
+    def sums_of(self) -> tuple[np.ndarray, np.ndarray]:
+        """Counts over all parts of each pair, and which pairs this part owns."""
+        told, order = self.told("pairs"), np.argsort(self.names)
+        total, mine = np.empty(len(order), np.int64), np.empty(len(order), bool)
+        total[order], mine[order] = told["n"], told["own"]
+        return total, mine
+
+    def here(self) -> np.ndarray:
+        """The contexts that stand before a token that may go deeper."""
+        return np.flatnonzero(np.bincount(self.ctx_at, minlength=len(self.ctx)))
+
+    def climb(self, least_pair: int) -> None:
+        """Score in the states of this depth and keep what may go on."""
+        n = self.sums_of()[0][self.pair_at]
+        told, here = self.told("states"), self.here()
+        here = here[np.argsort(self.ctx[here].view(np.uint64))]
+        count_of, weight_of = np.zeros(len(self.ctx), np.int64), np.full(len(self.ctx), np.nan)
+        count_of[here], weight_of[here] = told["n"], told["weight"]
+        on = ~np.isnan(weight_of)[self.ctx_at]
+        total, weight = count_of[self.ctx_at[on]], weight_of[self.ctx_at[on]]
+        score = self.score.copy()
+        old = score[on]
+        score[on] = np.where(n[on] >= least_pair, np.log10((n[on] + SMOOTHING * 10.0**old) / (total + SMOOTHING)), old + weight)
+        rare = np.zeros(len(self.tokens), bool)
+        rare[self.at[n < self.least_context]] = True
+        self.small[1:] |= self.small[:-1] | rare[:-1]
+        reach = self.at - self.starts[self.text_of(self.at)] >= self.depth
+        self.settle(score, on & reach & ~self.small[self.at])
+
+    def state(self) -> bytes:
+        return packed(
+            gaps=np.diff(self.at, prepend=0).astype(np.uint32), score=self.score, base=self.base, known=self.known, sums=self.sums, small=np.packbits(self.small)
+        )
+
+
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder; the shuffle files of the job that wrote it are removed when it has ended."""
+    spark, path, name = df.sparkSession, scratch_path(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete tables of this run that no later step reads."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def score(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes: int = PART_BYTES,
+    least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR, divergence: float = DIVERGENCE,
+) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``."""
-    codes = materialise(encode(docs, key, text, part_bytes))
-    words = materialise(vocabulary(codes))
-    n_tokens, n_words = totals_of(words)
-    # a word that stands in one part only has its count there already
-    shared = words.where("parts > 1").select("word", "c")
-    none = F.lit(None)
-    found = codes.select("part", F.posexplode("words").alias("at", "word")).join(shared, "word").select(
-        F.col("part").alias("in_part"), F.lit(0).alias("depth"), F.col("at").cast("long").alias("ctx"), F.col("c").alias("sym"), none.cast("double").alias("weight")
-    )
-    alive = kept = None
-    for depth, (_, pairs, mine) in enumerate(grown(codes, words, **options), 1):
-        pairs, mine = pairs.withColumn("depth", F.lit(depth)), mine.withColumn("depth", F.lit(depth))
-        alive, kept = (mine, pairs) if alive is None else (alive.unionByName(mine), kept.unionByName(pairs))
-    if alive is not None:
-        met = _wanted(codes, alive).join(kept, ["depth", "ctx", "sym"]).select("in_part", "depth", "ctx", "sym", F.log10("p").alias("weight"))
-        found = found.unionByName(alive.withColumn("sym", none.cast("long"))).unionByName(met)
+    spark = docs.sparkSession
+    codes, _ = _stored(encode(docs, key, text, part_bytes))
+    row = codes.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()
+    ranges = max(12, -(-(row[0] or 0) // RANGE_TOKENS))
+
+    def words(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                flat = [batch.column(n).slice(i, 1).flatten().to_numpy() for n in ("words", "counts")]
+                yield from asked(batch.column("part")[i].as_py(), ranges, flat[0].view(np.uint64), n=flat[1]).to_batches()
+
+    told, _ = _stored(answers(codes.select("part", "words", "counts").mapInArrow(words, QUESTION)))
+    totals = told.agg(F.sum("n_all"), F.sum("n_seen")).first()
+    n_tokens, n_words = int(totals[0] or 0), int(totals[1] or 0)
+    texts = codes.drop("keys", "counts")
+
+    def visit(depth: int, mail: DataFrame, run, schema: str, of: DataFrame = texts) -> DataFrame:
+        """``run`` once per part, at its state before ``depth``."""
+
+        def one(part: pa.Table, found: pa.Table) -> pa.Table:
+            return run(Work(part, found, depth, n_tokens, n_words, least_context), part)
+
+        return of.groupBy("part").cogroup(mail.groupBy("in_part")).applyInArrow(one, schema)
+
+    def question(work: Work, part: pa.Table) -> pa.Table:
+        work.group()
+        return asked(work.number, ranges, work.names, n=work.n)
+
+    def terms(work: Work, part: pa.Table) -> pa.Table:
+        """Per context this part's count, and over the pairs it owns the terms of the divergence."""
+        work.group()
+        n, own = work.sums_of()
+        use = own & (n >= least_pair)
+        of, n, q = work.pair_ctx[use], n[use], 10.0 ** work.score[work.one[use]]
+        size, here = len(work.ctx), work.here()
+        total = np.bincount(work.ctx_at[work.train], minlength=size)[here]
+        pairs, kept, below, g = (np.bincount(of, w, size)[here] for w in (None, n, q, n * np.log(n / q)))
+        return asked(work.number, ranges, work.ctx[here].view(np.uint64), n=total, pairs=pairs, kept=kept.astype(np.int64), below=below, g=g)
+
+    def climbed(work: Work, part: pa.Table) -> pa.Table:
+        if len(work.at):
+            work.group()
+            work.climb(least_pair)
+        return pa.table({"in_part": pa.array([work.number], pa.int64()), "data": pa.array([work.state()], pa.binary())})
+
+    state, old = message(told, "words"), []
+    for depth in count(1):
+        # parts without a token left ask nothing
+        pairs, one = _stored(answers(visit(depth, state, _if_any(question), QUESTION)))
+        heard = state.unionByName(message(pairs, "pairs"))
+        states, two = _stored(answers(visit(depth, heard, _if_any(terms), QUESTION), _decide(least_context, divergence)))
+        if not states.agg(F.sum("n_seen")).first()[0]:
+            _dropped(spark, one, two)
+            break
+        after, three = _stored(visit(depth, heard.unionByName(message(states, "states")), climbed, "in_part long, data binary"))
+        _dropped(spark, one, two, *old)
+        state, old = message(after, "state"), [three]
+
     kind = docs.schema[key].dataType.simpleString()
-    out = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def apply(part: pa.Table, found: pa.Table) -> pa.Table:
-        row = _read(part)
-        counts = row.counts.copy()
-        depth, ctx, weight = (found[n].to_numpy() for n in ("depth", "ctx", "weight"))
-        lone = found["sym"].is_null().to_numpy()
-        sym = found["sym"].fill_null(0).to_numpy()
-        counts[ctx[depth == 0]] = sym[depth == 0]
-        base = np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-        order = np.argsort(row.words)
-        words = row.words[order]
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(len(order))
-        levels = []
-        for d in range(1, int(depth.max(initial=0)) + 1):
-            state, pair = (depth == d) & lone, (depth == d) & ~lone
-            levels.append(Level.of(words, ctx[state], weight[state], ctx[pair], sym[pair], weight[pair]))
-        n_known, base_score, scores = [], [], []
-        for first, last, tokens, place in row.chunks():
-            lengths = row.lengths[first:last]
-            starts = np.cumsum(lengths) - lengths
-            n_known.append(np.add.reduceat((counts[tokens] > 0).astype(np.int64), starts))
-            base_score.append(np.add.reduceat(base[tokens], starts))
-            score, on, own = base[tokens], np.ones(len(tokens), bool), number[tokens]
-            for level, (name, there) in zip(levels, contexts(row.words, tokens, place)):
-                score, on = level.lift(score, name, there & on, own, len(words))
-            scores.append(np.add.reduceat(score, starts))
+    def scored(work: Work, part: pa.Table) -> pa.Table:
+        work.settle(work.score, np.zeros(len(work.at), bool))
+        row = work.row
         return pa.table({
             key: row.keys,
             "held_out": pa.array(row.held, pa.bool_()),
             "n_tokens": row.lengths,
-            "n_known": np.concatenate(n_known),
+            "n_known": work.known,
             "train_tokens": np.full(len(row.lengths), n_tokens, np.int64),
-            "base_score": np.concatenate(base_score),
-            "score": np.concatenate(scores),
+            "base_score": work.base,
+            "score": work.sums,
         })
 
-    return codes.groupBy("part").cogroup(found.groupBy("in_part")).applyInArrow(apply, out)
+    out = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return visit(0, state, scored, out, codes.drop("counts"))
+
+
+def _if_any(run):
+    return lambda work, part: run(work, part) if len(work.at) else ASKED.empty_table()

@@ -238,3 +238,52 @@ def best_two_fit(lengths, capacity):
                 left = sorted([*left, least])
         out.append(sorted(own, reverse=True))
     return out
+
+
+class PlainTree:
+    """The suffix tree with dictionaries: contexts are tuples, the newest word last; an end stands before a text."""
+
+    def __init__(self, texts, least_context=10, least_pair=2, divergence=0.02, smoothing=2.0):
+        unigram_counts = Counter(w for words in texts for w in words)
+        self.n, self.v = sum(unigram_counts.values()), len(unigram_counts)
+        self.words, self.levels = unigram_counts, []
+        depth = 0
+        while True:
+            depth += 1
+            seen = defaultdict(Counter)
+            for words in texts:
+                line = ["\n", *words]
+                for i in range(depth, len(line)):
+                    seen[tuple(line[i - depth : i])][line[i]] += 1
+            level = {}
+            for context, after in seen.items():
+                total = sum(after.values())
+                if total < least_context or (depth > 1 and context[1:] not in self.levels[-1]):
+                    continue
+                kept = {w: n for w, n in after.items() if n >= least_pair}
+                if not kept:
+                    continue
+                below = {w: self.log_p(context[1:], w) for w in kept}
+                rest, other = total - sum(kept.values()), max(1 - sum(10**q for q in below.values()), 1e-12)
+                gain = sum(n / total * (log10(n / total) - below[w]) for w, n in kept.items())
+                gain += rest / total * (log10(rest / total) - log10(other)) if rest else 0
+                if gain >= log10(2.718281828459045) * divergence:
+                    p = {w: (n + smoothing * 10 ** below[w]) / (total + smoothing) for w, n in kept.items()}
+                    level[context] = p, log10(max(1 - sum(p.values()), 1e-12) / other)
+            if not level:
+                return
+            self.levels.append(level)
+
+    def log_p(self, context, word):
+        """In the state of the longest suffix of ``context`` reached state by state."""
+        score = log10((self.words[word] + 0.5) / (self.n + 0.5 * (self.v + 1)))
+        for depth, level in enumerate(self.levels[: len(context)], 1):
+            state = level.get(context[-depth:])
+            if state is None:
+                break
+            score = log10(state[0][word]) if word in state[0] else score + state[1]
+        return score
+
+    def score(self, words):
+        line = ["\n", *words]
+        return sum(self.log_p(tuple(line[max(0, i - len(self.levels)) : i]), line[i]) for i in range(1, len(line)))

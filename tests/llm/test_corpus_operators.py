@@ -182,18 +182,34 @@ def test_states_sum_to_one_and_help_on_held_out_texts(spark):
     got = scored(spark, rows)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > 0.75 * sum(r.base_score for r in held)
-    codes = suffix_tree.encode(frame(spark, rows), "doc_id", "text", 1 << 20).cache()
-    tree = suffix_tree.learn(codes, suffix_tree.vocabulary(codes))
-    assert len(tree.levels[0].contexts) > 10 and len(tree.words) > 20
-    counts = {r.word: r.c for r in suffix_tree.vocabulary(codes).collect()}
-    root = np.log10((np.array([counts[w] for w in tree.words.tolist()]) + 0.5) / (tree.n_tokens + 0.5 * (tree.n_words + 1)))
-    every = np.arange(len(tree.words))
-    outside = 1 - (10.0**root).sum()  # what the root leaves to unknown words
-    for one in range(len(tree.words)):
-        for two in (-1, 0, 7):
-            logs = tree.climb(root, every, np.full(len(every), one), np.full(len(every), two))
-            unknown = tree.climb(np.log10([outside]), np.array([-1]), np.array([one]), np.array([two]))
-            assert (10.0**logs).sum() + 10.0 ** unknown[0] == pytest.approx(1.0, abs=1e-6)
+    tree = plain_tree(rows)
+    assert len(tree.levels) > 1 and len(tree.levels[0]) > 10 and len(tree.words) > 20
+    assert all(r.score == pytest.approx(tree.score(tokens(dict(rows)[r.doc_id])), rel=1e-9) for r in got)
+    for context in [c for level in tree.levels for c in level] + [("v0", "v0"), ("v1", "\n")]:
+        known = sum(10 ** tree.log_p(context, w) for w in tree.words)
+        assert known + 10 ** tree.log_p(context, "never seen") == pytest.approx(1.0, abs=1e-6)
+
+
+def tokens(text):
+    return [*brute.BLANK_WORD.findall(brute.lower(text)), "\n"]
+
+
+def plain_tree(rows, **options):
+    return brute.PlainTree([tokens(t) for k, t in rows if not suffix_tree.held_out(k)], **options)
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 20, 900])
+def test_tree_scores_against_a_plain_tree(spark, part_bytes):
+    rng = random.Random(14)
+    block = " ".join(rng.choices("abcdefgh", k=40))
+    # nested repeats at the beginning of texts, in their middle and across lengths, one hot word, copies, odd rows
+    rows = [(i, rng.choice([block, block[: rng.randrange(80)], "a a " * rng.randrange(9), " ".join(rng.choices("aaaabcdxyz", k=rng.randrange(60)))])) for i in range(200)]
+    rows += [(900 + i, f"q{i} b c " + "d " * i) for i in range(30)] + [(None, "a b"), (950, None), (950, ""), (951, "A B C"), (951, "a b c")]
+    for options in ({}, {"least_context": 4, "least_pair": 3, "divergence": 0.1}):
+        tree = plain_tree(rows, **options)
+        want = sorted((str(k), round(tree.score(tokens(t)), 6)) for k, t in rows)
+        assert sorted((str(r.doc_id), round(r.score, 6)) for r in scored(spark, rows, part_bytes=part_bytes, **options)) == want
+        assert len(tree.levels) >= 2
 
 
 def test_tree_grows_with_the_corpus_and_in_depth(spark):
