@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from haulyard.constants import CITIES, CONDITION_RISK
 
 BOOKING_ORDER = ["l_partkey", "l_suppkey"]
+FEED_TABLES = {
+    "Bookings": ["lineitem.parquet", "orders.parquet", "customer.parquet", "supplier.parquet", "part.parquet", "nation.parquet"],
+    "IoT": ["events.parquet"],
+    "Weather": ["events.parquet"],
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -602,7 +602,7 @@ def alarm_states(spark, folder):
 
 @query
 def published_metrics(spark, folder):
-    """The metric table measured on the data; the model metrics come with the model report."""
+    """The metric rows that need no model; ``metric_values`` has them all."""
     flagged = flagged_iot(spark, folder)
     large = large_frame(spark, folder)
     return alarms.metric_table(
@@ -624,25 +624,25 @@ def ingestion_manifest(spark, folder):
 # ---- models and anomalies ----------------------------------------------------------------
 
 
-def trained_models(spark, folder, only=None):
-    features = models.delay_features(large_frame(spark, folder))
-    return models.train(features, ["booking_id"], models.Settings(), only)
+def training(spark, folder):
+    """The one training that all model queries of a session share."""
+    files = readers.file_listing(spark, folder, "*.parquet")
+    return models.stored_training(files, lambda: models.delay_features(large_frame(spark, folder)), ["booking_id"], models.Settings())
 
 
 @query
 def delay_models(spark, folder):
-    return models.evaluate(trained_models(spark, folder), models.Settings())
+    return training(spark, folder).results
 
 
 @query
 def feature_importance(spark, folder):
-    forest = trained_models(spark, folder, ["Random Forest"]).models["Random Forest"]
-    return models.feature_importance(spark, forest)
+    return training(spark, folder).importances.orderBy(F.desc("importance"), "feature").limit(8)
 
 
 @query
 def ml_report(spark, folder):
-    return reports.ml_report(materialise(models.evaluate(trained_models(spark, folder), models.Settings())))
+    return reports.ml_report(training(spark, folder).results)
 
 
 def detected(spark, folder):
@@ -678,19 +678,57 @@ def anomaly_report(spark, folder):
 def master_report(spark, folder):
     readings = materialise(flagged_iot(spark, folder))
     orders = materialise(large_frame(spark, folder))
-    return reports.master_report(readings, orders, "confirmed_anomaly")
+    forecasts = clean_weather(spark, folder)
+    return reports.master_report(readings, orders, "confirmed_anomaly", training(spark, folder).results, forecasts)
+
+
+def landed_counts(spark, folder):
+    """Files in all and per feed: the tables each feed is derived from."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = readers.file_listing(spark, folder, "*.parquet").withColumn("name", name)
+    return quality.landed_files(files, {feed: F.col("name").isin(tables) for feed, tables in B.FEED_TABLES.items()})
+
+
+def full_kpis(spark, folder):
+    """The frames of the KPI table with the model's, and the acceptance checks on them, on landed files and on outputs.
+
+    One landed file per feed is wanted here, since the test tables are single files.
+    """
+    flagged, large = materialise(flagged_iot(spark, folder)), materialise(large_frame(spark, folder))
+    outcome = training(spark, folder)
+    frames = [kpis.fleet_kpis(flagged), kpis.fleet_health(flagged, "confirmed_anomaly"), kpis.delivery_kpis(large), outcome.best()]
+    outputs = {"Readings": flagged, "Bookings": large, "Weather": clean_weather(spark, folder), "Model Results": outcome.results}
+    measured = quality.measures(kpis.kpi_summary(*frames)).unionByName(landed_counts(spark, folder)).unionByName(quality.outputs_present(outputs))
+    rules = [*quality.ACCEPTANCE_RULES, *quality.landing_rules(list(B.FEED_TABLES), 1.0), *quality.output_rules(list(outputs))]
+    return frames, quality.acceptance(measured, rules)
+
+
+@query
+def kpi_table(spark, folder):
+    """All rows of the KPI table; ``kpi_summary`` holds those that need no model."""
+    frames, checks = full_kpis(spark, folder)
+    return kpis.kpi_summary(*frames, checks.agg(F.count_if(F.col("status") == "PASS").alias("checks_passed")))
+
+
+@query
+def metric_values(spark, folder):
+    """All rows of the metric table; ``published_metrics`` holds those that need no model, with bookings as the only feed.
+
+    Records count as ingested or processed over all three feeds.
+    """
+    flagged, large = materialise(flagged_iot(spark, folder)), materialise(large_frame(spark, folder))
+    readings, forecasts = B.iot(spark, folder), B.weather(spark, folder)
+    rates = alarms.feed_rates(
+        [(B.bookings(spark, folder), "booking_id", large), (readings, "vehicle_id", flagged), (forecasts, "city", clean_weather(spark, folder))]
+    )
+    frames = [kpis.fleet_health(flagged, "confirmed_anomaly"), kpis.fleet_kpis(flagged), kpis.delivery_kpis(large)]
+    return alarms.metric_table(rates, *frames, training(spark, folder).best())
 
 
 @query
 def acceptance_checks(spark, folder):
-    """Pass or fail of the acceptance rules on measured counts and rates."""
-    flagged = flagged_iot(spark, folder)
-    measured = kpis.kpi_summary(
-        kpis.fleet_kpis(flagged), kpis.fleet_health(flagged, "confirmed_anomaly"), kpis.delivery_kpis(large_frame(spark, folder))
-    ).select(F.col("KPI").alias("measure"), F.col("Value").alias("value"))
-    files = readers.manifest(spark, folder).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    measured = measured.unionByName(files.select(F.lit("Landed Files").alias("measure"), "value"))
-    return quality.acceptance(measured, quality.ACCEPTANCE_RULES)
+    """Pass or fail of the acceptance rules on landed files, rates, model measures and outputs."""
+    return full_kpis(spark, folder)[1]
 
 
 # ---- streams driven to completion over the test tables -----------------------------------

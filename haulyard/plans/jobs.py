@@ -92,10 +92,15 @@ def model_run(bookings_table: DataFrame, out: str, settings: models.Settings = m
 
 
 def master_run(
-    iot_table: DataFrame, bookings_table: DataFrame, anomaly_flag: str, out: str, results: DataFrame | None = None
+    iot_table: DataFrame,
+    bookings_table: DataFrame,
+    anomaly_flag: str,
+    out: str,
+    results: DataFrame | None = None,
+    forecasts: DataFrame | None = None,
 ) -> DataFrame:
     """Store the master report; returns the metric table measured on the same frames."""
-    writers.json_document(reports.master_report(iot_table, bookings_table, anomaly_flag, results), f"{out}/report")
+    writers.json_document(reports.master_report(iot_table, bookings_table, anomaly_flag, results, forecasts), f"{out}/report")
     frames = [kpis.fleet_health(iot_table, anomaly_flag), kpis.fleet_kpis(iot_table), kpis.delivery_kpis(bookings_table)]
     if results is not None:
         frames.append(results.orderBy(F.desc("auc_pct"), "model").limit(1))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
-from dataclasses import dataclass, field
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -20,7 +25,7 @@ from haulyard.operators import metrics, sampling, scaling
 from haulyard.operators.boosting import Booster
 from haulyard.operators.encode import label_encode
 from haulyard.plans import bookings as booking_plan
-from haulyard.session import materialise
+from haulyard.session import application_folder, files_below, materialise
 
 BALANCE_SEED = 43
 VALIDATION_SEED = 44
@@ -91,6 +96,9 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
 
     Boosted models use scaled columns, a positive-class weight and a validation part, whose area under the curve
     stops them: A grows level by level to a depth, B leaf by leaf to a number of leaves. The forest uses plain columns and balanced class weights.
+
+    The fits run side by side: each is a row of short jobs, and one's tasks fill the waits of another. The seconds of each are
+    wall-clock time beside the others.
     """
     train_part, test_part = split_and_balance(features, keys, settings)
     out = Trained(scaler=scaling.fit_scaler(train_part, DELAY_FEATURES))
@@ -124,13 +132,16 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
             seed=SPLIT_SEED,
         ),
     }
-    for name, estimator in estimators.items():
-        if only and name not in only:
-            continue
+    names = [name for name in estimators if not only or name in only]
+
+    def fitted(name: str):
         start = time.monotonic()
-        model = estimator.fit(fit_part)
-        out.seconds[name] = round(time.monotonic() - start, 1)
-        out.models[name] = model
+        return estimators[name].fit(fit_part), round(time.monotonic() - start, 1)
+
+    with ThreadPoolExecutor(len(names)) as pool:
+        done = list(pool.map(inheritable_thread_target(features.sparkSession)(fitted), names))
+    for name, (model, seconds) in zip(names, done):
+        out.models[name], out.seconds[name] = model, seconds
         scored = model.transform(test_part).select(
             F.lit(name).alias("model"), *keys, "target", vector_to_array("probability")[1].alias("score")
         )
@@ -138,6 +149,50 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
     return out
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """What reports need of a training: measures per model, the forest's importances."""
+
+    results: DataFrame
+    importances: DataFrame
+
+    def best(self) -> DataFrame:
+        return metrics.select_best(self.results)
+
+
+def training_key(inputs: DataFrame, settings: Settings) -> str:
+    """Names a training by its input files (path, modified, length) and all that shapes the models.
+
+    The files are summed up in one aggregate in any order, so a changed, added or removed file gives another name.
+    """
+    mark = F.xxhash64("path", "modified", "length").cast("decimal(20,0)")
+    files = inputs.agg(F.count(F.lit(1)).alias("files"), F.sum(mark).cast("string").alias("marks")).first()
+    shape = [*files, asdict(settings), DELAY_FEATURES, SPLIT_SEED, BALANCE_SEED, VALIDATION_SEED, MAJORITY_FACTOR]
+    return hashlib.sha256(json.dumps(shape).encode()).hexdigest()
+
+
+def stored_training(
+    inputs: DataFrame, features: Callable[[], DataFrame], keys: list[str], settings: Settings = Settings(), store: str | None = None
+) -> Outcome:
+    """The outcome of one training on ``features()``, trained once per input and settings and read from the store afterwards.
+
+    ``inputs`` lists the input files (path, modified, length). ``store`` is a folder all executors share; by default this
+    application's own, removed with it. An attempt counts once its last table is whole, so one that broke off is never read, and two that
+    run at the same time do not write to the same place; the first by name is used by all.
+    """
+    spark = inputs.sparkSession
+    place = f"{store or application_folder(spark) + '/trainings'}/{training_key(inputs, settings)}"
+    whole = files_below(spark, f"{place}/*/importances/_SUCCESS")
+    if not whole:
+        attempt = f"{place}/{uuid.uuid4().hex}"
+        trained = train(features(), keys, settings)
+        evaluate(trained, settings).write.parquet(f"{attempt}/results")
+        feature_importance(spark, trained.models["Random Forest"], len(DELAY_FEATURES)).write.parquet(f"{attempt}/importances")
+        whole = files_below(spark, f"{place}/*/importances/_SUCCESS")
+    found = min(whole).removesuffix("/importances/_SUCCESS")
+    return Outcome(spark.read.parquet(f"{found}/results"), spark.read.parquet(f"{found}/importances"))
+
+
 def evaluate(trained: Trained, settings: Settings = Settings()) -> DataFrame:
     """One row per model: confusion counts, accuracy, AUC and recall in percent, training time."""
     scored = materialise(trained.scored)

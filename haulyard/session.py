@@ -48,10 +48,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[application]
 
 
+def application_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder, which ``release`` removes."""
+    return f"{shared_folder(spark).rstrip('/')}/haulyard/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path in this application's part of the shared folder."""
-    folder = shared_folder(spark).rstrip("/")
-    return f"{folder}/haulyard/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def files_below(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern of the file system; none if nothing is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(f.getPath().toString()) for f in found or []]
 
 
 def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -68,5 +79,5 @@ def materialise(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Delete this application's tables in the shared folder. Frames that read them can no longer be used."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/haulyard/{spark.sparkContext.applicationId}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,4 @@
 import json
-from types import SimpleNamespace
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -8,7 +7,7 @@ from pyspark.sql import functions as F
 from haulyard.catalog import queries
 from haulyard.constants import DELAY_FEATURES
 from haulyard.operators import encode
-from haulyard.plans import models
+from haulyard.plans import models, quality
 
 
 @pytest.fixture(scope="module")
@@ -83,15 +82,71 @@ def test_target_and_zero_fill(spark):
     assert (row["target"], row["distance_km"], row["freight_charge_inr"], row["revenue_per_km"]) == (1, 0.0, 12.0, 12.0)
 
 
-def test_registered_queries_train_at_full_size(monkeypatch):
+@pytest.fixture(scope="module")
+def files(spark):
+    return spark.createDataFrame([("a", 1, 10), ("b", 2, 20)], "path string, modified long, length long")
+
+
+def test_training_is_stored_and_used_again(spark, orders, files, tmp_path):
+    calls = []
+
+    def features():
+        calls.append(1)
+        return models.delay_features(orders)
+
+    def outcome(inputs, settings=models.QUICK):
+        return models.stored_training(inputs, features, ["booking_id"], settings, str(tmp_path))
+
+    first, again = outcome(files), outcome(files.orderBy(F.desc("path")).repartition(3))
+    assert len(calls) == 1 and first.results.collect() == again.results.collect()
+    assert first.importances.count() == len(DELAY_FEATURES)
+    assert first.best().columns[-1] == "selection_score" and first.best().count() == 1
+    # an attempt that broke off is not read
+    key = models.training_key(files, models.QUICK)
+    first.results.write.parquet(f"{tmp_path}/{key}/0/results")
+    assert outcome(files).results.collect() == first.results.collect() and len(calls) == 1
+
+
+def test_training_key_follows_files_and_settings(spark, files):
+    key = models.training_key(files, models.QUICK)
+    changed = files.withColumn("length", F.when(F.col("path") == "a", 11).otherwise(F.col("length")))
+    assert key == models.training_key(files.orderBy(F.desc("path")), models.QUICK)
+    assert len({key, models.training_key(changed, models.QUICK), models.training_key(files.limit(1), models.QUICK), models.training_key(files, models.Settings())}) == 4
+
+
+def test_registered_queries_share_one_training_at_full_size(spark, monkeypatch, data):
+    """All queries that need models ask for the same training, with the default settings."""
     used = []
-    monkeypatch.setattr(queries, "large_frame", lambda *_: None)
-    monkeypatch.setattr(queries, "materialise", lambda df: df)
-    monkeypatch.setattr(models, "delay_features", lambda _: None)
-    monkeypatch.setattr(models, "train", lambda _, keys, settings, only=None: used.append(settings) or SimpleNamespace(models={"Random Forest": None}))
-    monkeypatch.setattr(models, "evaluate", lambda _, settings: used.append(settings))
-    monkeypatch.setattr(models, "feature_importance", lambda *_: None)
-    monkeypatch.setattr(queries.reports, "ml_report", lambda _: None)
-    for query in (queries.delay_models, queries.feature_importance, queries.ml_report):
-        query(None, "")
-    assert used == [models.Settings()] * 5
+    table = spark.createDataFrame([("A", 1, 1, 1, 1, 75.0, 66.0, 71.5, 3.0)], "model string, true_positives long, false_negatives long, false_positives long, true_negatives long, auc_pct double, recall_pct double, accuracy_pct double, train_time_s double")
+    outcome = models.Outcome(table, spark.createDataFrame([("distance_km", 1.0)], "feature string, importance double"))
+
+    def stored(inputs, features, keys, settings, store=None):
+        used.append((models.training_key(inputs, settings), settings))
+        return outcome
+
+    monkeypatch.setattr(models, "stored_training", stored)
+    for name in ("delay_models", "feature_importance", "ml_report", "master_report"):
+        assert queries.QUERIES[name](spark, data).count() == 1
+    kpi = {r["KPI"]: r["Value"] for r in queries.kpi_table(spark, data).collect()}
+    assert len(kpi) == 19 and (kpi["ML AUC Score"], kpi["ML Recall"], kpi["ML Accuracy"]) == (75.0, 66.0, 71.5)
+    plain = {r["KPI"]: r["Value"] for r in queries.kpi_summary(spark, data).collect()}
+    assert plain.items() <= kpi.items()
+    checks = {r["measure"]: r["status"] for r in queries.acceptance_checks(spark, data).collect()}
+    assert kpi["Test Cases Passed"] == sum(s == "PASS" for s in checks.values())
+    assert len(checks) == 13 and checks["ML Recall"] == checks["IoT Files"] == checks["Weather Present"] == "PASS" and checks["Total Orders"] == "FAIL"
+    metric = {r["metric"]: r["value"] for r in queries.metric_values(spark, data).collect()}
+    bookings_only = {r["metric"]: r["value"] for r in queries.published_metrics(spark, data).collect()}
+    assert len(metric) == 12 and (metric["ModelAUCScore"], metric["ModelRecallScore"]) == (75.0, 66.0)
+    assert metric["RecordsIngested"] > bookings_only["RecordsIngested"] and metric["TotalOrders"] == bookings_only["TotalOrders"]
+    volumes = queries.master_report(spark, data).first()
+    assert volumes["data_volumes"]["weather_records"] > 0 and volumes["ml_summary"]["best"]["model"] == "A"
+    assert len(set(used)) == 1 and used[0][1] == models.Settings()
+
+
+def test_outputs_and_landed_files(spark):
+    empty = spark.range(0)
+    got = {r["measure"]: r["value"] for r in quality.outputs_present({"A": spark.range(5), "B": empty}).collect()}
+    assert got == {"A Present": 1.0, "B Present": 0.0}
+    listed = spark.createDataFrame([("a.csv",), ("b.csv",), ("c.json",), (None,)], "path string")
+    got = {r["measure"]: r["value"] for r in quality.landed_files(listed, {"X": F.col("path").endswith(".csv"), "Y": F.col("path") == "z"}).collect()}
+    assert got == {"Landed Files": 4.0, "X Files": 2.0, "Y Files": 0.0}
