@@ -97,8 +97,8 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
     Boosted models use scaled columns, a positive-class weight and a validation part, whose area under the curve
     stops them: A grows level by level to a depth, B leaf by leaf to a number of leaves. The forest uses plain columns and balanced class weights.
 
-    The fits run side by side: each is a row of short jobs, and one's tasks fill the waits of another. The seconds of each are
-    wall-clock time beside the others.
+    The boosted fits run side by side: each is a row of short jobs, and one's tasks fill the waits of the other. The forest, whose
+    tasks are long, follows alone.
     """
     train_part, test_part = split_and_balance(features, keys, settings)
     out = Trained(scaler=scaling.fit_scaler(train_part, DELAY_FEATURES))
@@ -138,9 +138,11 @@ def train(features: DataFrame, keys: list[str], settings: Settings = Settings(),
         start = time.monotonic()
         return estimators[name].fit(fit_part), round(time.monotonic() - start, 1)
 
-    with ThreadPoolExecutor(len(names)) as pool:
-        done = list(pool.map(inheritable_thread_target(features.sparkSession)(fitted), names))
-    for name, (model, seconds) in zip(names, done):
+    boosters = [name for name in names if isinstance(estimators[name], Booster)]
+    with ThreadPoolExecutor(len(estimators)) as pool:
+        done = dict(zip(boosters, pool.map(inheritable_thread_target(features.sparkSession)(fitted), boosters)))
+    done |= {name: fitted(name) for name in names if name not in done}
+    for name, (model, seconds) in done.items():
         out.models[name], out.seconds[name] = model, seconds
         scored = model.transform(test_part).select(
             F.lit(name).alias("model"), *keys, "target", vector_to_array("probability")[1].alias("score")
