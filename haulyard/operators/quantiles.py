@@ -15,7 +15,7 @@ values like any other.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -42,13 +42,18 @@ class Step(NamedTuple):
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    by: str | None = None,
+    wanted: Callable[[object], Sequence[int]] | None = None,
 ) -> dict | None:
     """{group: {column: [quantile per prob]}} with linear interpolation; NULLs are ignored.
 
     Without ``by`` the only group is None. Rows whose group is NULL are ignored. A column without
     values gives None entries. With more than MAX_GROUPS groups the answer is None: those are small
-    groups for ``quantile_frame``.
+    groups for ``quantile_frame``. ``wanted`` names the places in ``probs`` that a group needs: no pass looks
+    for the others, which are None.
     """
     columns = list(columns)
     source = df.where(F.col(by).isNotNull()) if by else df
@@ -64,7 +69,8 @@ def exact_quantiles(
             n = row[f"n_{ci}"]
             if not n:
                 continue
-            for pi, prob in enumerate(probs):
+            for pi in range(len(probs)) if wanted is None else sorted(set(wanted(group))):
+                prob = probs[pi]
                 low, high = row[f"low_{ci}_{pi}"], row[f"high_{ci}_{pi}"]
                 if low == high:
                     result[group][column][pi] = low
@@ -130,12 +136,14 @@ def _enclose(source: DataFrame, columns: list[str], probs: Sequence[float], by:
     return None if len(rows) > MAX_GROUPS else [(r[by], r) for r in rows]
 
 
-def quantile_frame(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str) -> DataFrame:
+def quantile_frame(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: str, wanted: Callable[[object], Sequence[int]] | None = None
+) -> DataFrame:
     """The same quantiles as a join side (group, array per column), for any number of groups and rows in them.
 
     Groups of at most LISTED_GROUP rows are sorted inside one aggregate each. Larger ones, of which there
     can be no more than the rows divided by that, go through ``exact_quantiles``, MAX_GROUPS at a time.
-    Both read the same ranks and interpolate alike.
+    Both read the same ranks and interpolate alike. With ``wanted`` a group's other places may be null.
     """
     columns = list(columns)
     spark = df.sparkSession
@@ -148,7 +156,7 @@ def quantile_frame(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     out = lists.select(by, *[_of_sorted(c, probs).alias(c) for c in columns])
     for at in range(0, len(large), MAX_GROUPS):
         block = large[at : at + MAX_GROUPS]
-        found = exact_quantiles(source.where(F.col(by).isin(block)), columns, probs, by)
+        found = exact_quantiles(source.where(F.col(by).isin(block)), columns, probs, by, wanted)
         schema = T.StructType([df.schema[by], *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in columns]])
         out = out.unionByName(spark.createDataFrame([(g, *[v[c] for c in columns]) for g, v in found.items()], schema))
     return out

@@ -92,6 +92,24 @@ def test_quantiles_of_few_or_no_rows(spark):
     assert quantiles.exact_quantiles(frame.limit(0), ["a"], [0.5])[None] == {"a": [None]}
 
 
+def test_only_the_wanted_rank_of_a_group_is_sought(numbers, monkeypatch):
+    probs = [0.1, 0.5, 0.9]
+    every = quantiles.exact_quantiles(numbers, ["smooth"], probs, "g")
+    groups = sorted(every)
+    need = {g: [i % 3] for i, g in enumerate(groups)}
+    sought = []
+    for step in ("_step_counts", "_value_counts"):
+        real = getattr(quantiles, step)
+        monkeypatch.setattr(quantiles, step, lambda source, columns, by, items, real=real: sought.extend(items) or real(source, columns, by, items))
+    own = quantiles.exact_quantiles(numbers, ["smooth"], probs, "g", need.get)
+    for g in groups:
+        assert own[g]["smooth"] == [q if i in need[g] else None for i, q in enumerate(every[g]["smooth"])]
+    assert sought and {(g, pi) for g, _, pi in sought} <= {(g, need[g][0]) for g in groups}
+    monkeypatch.setattr(quantiles, "LISTED_GROUP", 0)
+    framed = {r["g"]: list(r["smooth"]) for r in quantiles.quantile_frame(numbers, ["smooth"], probs, "g", need.get).collect()}
+    assert framed == {g: own[g]["smooth"] for g in groups}
+
+
 def test_quantile_frame_of_many_groups(numbers, monkeypatch):
     monkeypatch.setattr(quantiles, "MAX_GROUPS", 2)
     pdf = numbers.toPandas()
