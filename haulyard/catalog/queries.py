@@ -574,7 +574,8 @@ def model_select(spark, folder):
 def contamination_cut(spark, folder):
     """Fixed score in place of the forest's: readings below the tier's expected share are flagged."""
     frame = featured_iot(spark, folder).withColumn("score", F.col("engine_health_score") + F.col("speed_kmh") / 7)
-    return anomaly.flag_lowest(frame, "score", "vehicle_tier", "is_low").select("event_id", "vehicle_tier", "is_low")
+    stored = materialise(frame.select("event_id", "vehicle_tier", "score"))  # the cut reads its rows several times
+    return anomaly.flag_lowest(stored, "score", "vehicle_tier", "is_low").select("event_id", "vehicle_tier", "is_low")
 
 
 # ---- alarms and metrics ------------------------------------------------------------------
