@@ -10,12 +10,14 @@ scored in the state of its longest context that the tree has.
 
 The counts are fixed numbers, so the tree grows with the corpus, and levels are added until one has no state. The texts
 stay in parts (at most ``PART_BYTES`` of text, or one text), encoded once: the different words as 64-bit hashes and the texts as
-numbers into that list, compressed. Per level a part sends the 64-bit name of every different (context, successor) once, with its
+numbers into that list. Parts lie in a table in buckets by their number and are worked on where they lie: only questions and
+answers are shuffled. Per level a part sends the 64-bit name of every different (context, successor) once, with its
 own count, in packed arrays by ranges of names; whoever holds a range adds the counts up and answers each part in the order it
 asked, and marks for each name one part as its owner. So no name or successor is ever gathered by context, and frequent words
 make no skew. Owners add the divergence's terms up per context; states are the contexts whose sums pass, sent to the parts that
 have them. A context seen too rarely is known from the counts of the level before (its first tokens and its last), and no
-longer context that contains it is asked for. Between levels a part keeps the tokens that may still go deeper, with their scores.
+longer context that contains it is asked for. Between levels a part keeps the tokens that may still go deeper, with their
+scores, and of its texts only the stretches in which their longer contexts can lie.
 A context is named by a 64-bit hash of its suffix's name and the word before.
 
 Defined cases: a null or empty text is one end token. Rows are held out by their key's checksum; a null key
@@ -25,6 +27,7 @@ counts as the empty text. Without training tokens every c is 0. Repeated rows ar
 from __future__ import annotations
 
 import pickle
+import uuid
 import zlib
 from itertools import count
 
@@ -44,7 +47,8 @@ DIVERGENCE = 0.02
 SMOOTHING = 2.0  # tokens of the suffix's distribution added to a state's counts
 FOLDS, HELD_OUT = 5, 1
 PART_BYTES = 8 << 20
-RANGE_TOKENS = 1 << 20  # tokens of the corpus per range of names
+RANGE_TOKENS = 1 << 20  # tokens of the corpus that may still go deeper per range of names
+BUCKET_PARTS = 2  # parts per bucket of the table they lie in
 END = xxh64_intdigest(b"\n")  # no word has a line end in it
 
 CODES = "part long, keys array<{key}>, held array<boolean>, lengths array<int>, words array<long>, counts array<long>, tokens binary"
@@ -54,18 +58,25 @@ def held_out(key: object) -> bool:
     return zlib.crc32(("" if key is None else str(key)).encode()) % FOLDS == HELD_OUT
 
 
+class Numbers(dict):
+    """Different words, numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Part:
     """Texts being encoded: the different words so far and the texts as numbers into them."""
 
     def __init__(self):
-        self.numbers = {b"\n": 0}
+        self.numbers = Numbers({b"\n": 0})
         self.keys, self.held, self.texts, self.size = [], [], [], 0
 
     def add(self, key, data: bytes | None) -> None:
-        numbers = self.numbers
         own = data.lower().split() if data else []
         own.append(b"\n")
-        self.texts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.uint32, len(own)))
+        self.texts.append(np.fromiter(map(self.numbers.__getitem__, own), np.uint32, len(own)))
         self.keys.append(key)
         self.held.append(held_out(key))
         self.size += len(data or b"")
@@ -105,20 +116,6 @@ def _arrow(df: DataFrame) -> pa.DataType:
     return to_arrow_type(df.schema["key"].dataType)
 
 
-class Row:
-    """A part read back, as arrays over Arrow's own memory."""
-
-    def __init__(self, columns: dict[str, pa.Array]):
-        flat = {n: c.flatten() for n, c in columns.items() if pa.types.is_list(c.type)}
-        self.keys = flat.get("keys")
-        self.held = flat["held"].to_numpy(zero_copy_only=False)
-        self.lengths = flat["lengths"].to_numpy().astype(np.int64)
-        self.words = flat["words"].to_numpy()
-        self.counts = flat["counts"].to_numpy() if "counts" in flat else None
-        size = int(self.lengths.sum()) * 4
-        self.tokens = np.frombuffer(pa.decompress(columns["tokens"][0].as_buffer(), size, "zstd"), np.uint32)
-
-
 def longer(suffix: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The names of the contexts that are ``word`` and then the context named ``suffix``."""
     x = suffix.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
@@ -128,16 +125,22 @@ def longer(suffix: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def packed(**arrays: np.ndarray) -> bytes:
-    return pickle.dumps({k: (a.dtype.str, a.nbytes, pa.compress(a.tobytes(), "zstd", asbytes=True)) for k, a in arrays.items()})
+    """Arrays as bytes, the first bytes of all values first: those are alike."""
+    planes = {k: a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for k, a in arrays.items()}
+    return pickle.dumps({k: (a.dtype.str, a.nbytes, pa.compress(planes[k], "zstd", asbytes=True)) for k, a in arrays.items()})
 
 
 def unpacked(data: bytes) -> dict[str, np.ndarray]:
-    return {k: np.frombuffer(pa.decompress(z, size, "zstd"), kind) if size else np.empty(0, kind) for k, (kind, size, z) in pickle.loads(data).items()}
+    out = {}
+    for k, (kind, size, z) in pickle.loads(data).items():
+        planes = np.frombuffer(pa.decompress(z, size, "zstd"), np.uint8) if size else np.empty(0, np.uint8)
+        out[k] = np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+    return out
 
 
 ASKED = pa.schema([("range", pa.int32()), ("in_part", pa.int64()), ("names", pa.binary())])
 QUESTION = "range int, in_part long, names binary"
-MESSAGE = "in_part long, kind string, range int, data binary"
+STATE = "part long, n_active long, data binary"
 
 
 def asked(part: int, ranges: int, names: np.ndarray, **values: np.ndarray) -> pa.Table:
@@ -148,7 +151,7 @@ def asked(part: int, ranges: int, names: np.ndarray, **values: np.ndarray) -> pa
     of = ((names >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int32)
     used, starts = np.unique(of, return_index=True)
     ends = np.append(starts[1:], len(of))
-    rows = [packed(names=names[a:b], **{k: v[a:b] for k, v in values.items()}) for a, b in zip(starts, ends)]
+    rows = [packed(names=np.diff(names[a:b], prepend=np.uint64(0)), **{k: v[a:b] for k, v in values.items()}) for a, b in zip(starts, ends)]
     return pa.table([pa.array(used, pa.int32()), pa.array(np.full(len(used), part, np.int64)), pa.array(rows, pa.binary())], ASKED)
 
 
@@ -158,8 +161,8 @@ class Range:
     def __init__(self, rows: pa.Table):
         self.rows = rows.sort_by("in_part")
         found = [unpacked(data) for data in self.rows["names"].to_pylist()]
-        self.values = {k: np.concatenate([f[k] for f in found]) for k in found[0]}
-        names = self.values.pop("names")
+        self.values = {k: np.concatenate([f[k] for f in found]) for k in found[0] if k != "names"}
+        names = np.concatenate([np.cumsum(f["names"], dtype=np.uint64) for f in found])
         self.ends = np.cumsum([len(f["names"]) for f in found])
         self.order = np.argsort(names, kind="stable")
         ordered = names[self.order]
@@ -213,68 +216,86 @@ def answers(questions: DataFrame, reply=_add_up) -> DataFrame:
 
 
 def message(df: DataFrame, kind: str) -> DataFrame:
-    """Rows addressed to parts, in the columns all kinds share."""
-    fields = [f.split() for f in MESSAGE.split(", ")]
-    return df.select(*(F.lit(kind).alias(n) if n == "kind" else (F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in fields))
+    """Answers addressed to parts."""
+    return df.select("in_part", F.lit(kind).alias("kind"), "range", "data")
+
+
+def told(mail: pa.Table, kind: str) -> dict[str, np.ndarray]:
+    """The answers to a part's names in their order."""
+    mine = mail.filter(pa.array([k == kind for k in mail["kind"].to_pylist()], pa.bool_()))
+    found = [unpacked(data) for data in mine.sort_by("range")["data"].to_pylist()]
+    return {k: np.concatenate([f[k] for f in found]) for k in found[0]}
+
+
+def started(part: pa.Table, mail: pa.Table, n_tokens: int, n_words: int, least_context: int) -> Work:
+    """A part before the first level, from its encoded texts and the counts of its words."""
+    flat = {n: part.column(n).combine_chunks().flatten().to_numpy(zero_copy_only=False) for n in ("held", "lengths", "words")}
+    lengths = flat["lengths"].astype(np.int64)
+    tokens = np.frombuffer(pa.decompress(part["tokens"][0].as_buffer(), int(lengths.sum()) * 4, "zstd"), np.uint32)
+    counts = np.empty(len(flat["words"]), np.int64)
+    counts[np.argsort(flat["words"].view(np.uint64))] = told(mail, "words")["n"]
+    of_word = np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
+    starts = np.cumsum(lengths) - lengths
+    before = np.zeros(len(tokens), np.uint32)
+    before[1:] = tokens[:-1]
+    before[starts] = 0
+    score = of_word[tokens]
+    small = (counts < least_context)[before]
+    texts = np.arange(len(lengths))
+    return Work(part["part"][0].as_py(), 0, least_context, {
+        "held": flat["held"], "base": np.add.reduceat(score, starts), "known": np.add.reduceat((counts > 0).astype(np.int64)[tokens], starts),
+        "sums": np.bincount(np.repeat(texts, lengths)[small], score[small], len(lengths)),
+        "words": flat["words"], "of_word": of_word, "tokens": tokens, "lengths": lengths, "texts": texts, "offsets": np.zeros(len(lengths), np.int64),
+        "small": small, "at": np.flatnonzero(~small), "score": None,
+    })
 
 
 class Work:
-    """A part at one depth: the tokens that may still go deeper, with what the levels before say of them."""
-
-    def __init__(self, part: pa.Table, mail: pa.Table, depth: int, n_tokens: int, n_words: int, least_context: int):
-        self.number = part["part"][0].as_py()
-        self.row = row = Row({n: part.column(n).combine_chunks() for n in part.column_names if n != "part"})
-        self.depth, self.least_context = depth, least_context
-        self.mail = {kind: mail.filter(pa.array([k == kind for k in kinds], pa.bool_())) for kinds in [mail["kind"].to_pylist()] for kind in ("words", "pairs", "state", "states")}
-        ends = np.cumsum(row.lengths)
-        self.starts = ends - row.lengths
-        self.tokens = row.tokens
-        if self.mail["state"].num_rows:
-            state = unpacked(self.mail["state"]["data"][0].as_py())
-            self.at = np.cumsum(state["gaps"].astype(np.int64))
-            self.score, self.base, self.known, self.sums = state["score"], state["base"], state["known"], state["sums"].copy()
-            self.small = np.unpackbits(state["small"], count=len(self.tokens)).astype(bool)
-        else:
-            names = row.words.view(np.uint64)
-            counts = np.empty(len(names), np.int64)
-            counts[np.argsort(names)] = self.told("words")["n"]
-            base = np.log10((counts + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
-            score = base[self.tokens]
-            self.base, self.known = np.add.reduceat(score, self.starts), np.add.reduceat((counts > 0).astype(np.int64)[self.tokens], self.starts)
-            self.at = np.arange(len(self.tokens))
-            self.sums = np.zeros(len(self.starts))
-            self.small = (counts < least_context)[self.before(self.at, 1)]
-            self.settle(score, ~self.small)
-
-    def told(self, kind: str) -> dict[str, np.ndarray]:
-        """The answers to this part's names in their order."""
-        found = [unpacked(data) for data in self.mail[kind].sort_by("range")["data"].to_pylist()]
-        return {k: np.concatenate([f[k] for f in found]) for k in found[0]}
-
-    def text_of(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.starts, at, "right") - 1
-
-    def before(self, at: np.ndarray, back: int) -> np.ndarray:
+    """A part at one depth: the tokens that may still go deeper, with what the levels before say of them.
+
+    Of the texts there are stretches: ``lengths`` tokens from place ``offsets`` of text ``texts`` each. ``small`` marks the tokens
+    before which every context longer than the depth reached is known to be too rare, or cannot be had from the stretch.
+    """
+
+    def __init__(self, number: int, depth: int, least_context: int, has: dict[str, np.ndarray]):
+        self.number, self.depth, self.least_context = number, depth, least_context
+        vars(self).update(has)
+        ends = np.cumsum(self.lengths)
+        self.first = ends - self.lengths - self.offsets  # where the stretch's text begins, or would
+        self.stretch = np.repeat(np.arange(len(ends)), self.lengths)[self.at]
+        if self.score is None:
+            self.score = self.of_word[self.tokens[self.at]]
+
+    @classmethod
+    def read(cls, number: int, data: bytes, depth: int, least_context: int) -> Work:
+        has = unpacked(data)
+        has["at"] = np.cumsum(has.pop("gaps").astype(np.int64))
+        has["tokens"] = has["tokens"].astype(np.int64)
+        has["small"] = np.unpackbits(has["small"], count=len(has["tokens"])).astype(bool)
+        has["score"] = has.get("score")
+        return cls(number, depth, least_context, has)
+
+    def before(self, back: int) -> np.ndarray:
         """The token ``back`` places before each; the end mark, number 0, stands before a text."""
-        token = self.tokens[np.maximum(at - back, 0)].astype(np.int64)
-        token[at - self.starts[self.text_of(at)] < back] = 0
+        token = self.tokens[np.maximum(self.at - back, 0)]
+        token[self.at - self.first[self.stretch] < back] = 0
         return token
 
     def settle(self, score: np.ndarray, on: np.ndarray) -> None:
         """Tokens that are not ``on`` have their last score."""
-        self.sums += np.bincount(self.text_of(self.at[~on]), score[~on], len(self.sums))
-        self.at, self.score = self.at[on], score[on]
+        self.sums = self.sums + np.bincount(self.texts[self.stretch[~on]], score[~on], len(self.sums))
+        self.at, self.score, self.stretch = self.at[on], score[on], self.stretch[on]
 
     def group(self) -> None:
         """Number the different contexts of this depth and their pairs with successors."""
-        words, width = self.row.words, np.int64(len(self.row.words))
-        own = self.before(self.at, 1)
+        words, width = self.words, np.int64(len(self.words))
+        own = self.before(1)
         if self.depth == 1:
             self.ctx, self.ctx_at = words, own
         else:
             name = words[own]
             for back in range(2, self.depth + 1):
-                name = longer(name, words[self.before(self.at, back)])
+                name = longer(name, words[self.before(back)])
             self.ctx, self.ctx_at = np.unique(name, return_inverse=True)
         code = self.ctx_at * width + self.tokens[self.at]
         order = np.argsort(code)
@@ -285,28 +306,28 @@ class Work:
         self.pair_at[order] = np.cumsum(first) - 1
         self.pair_ctx, sym = ordered[starts] // width, ordered[starts] % width
         self.names = longer(self.ctx[self.pair_ctx], words[sym]).view(np.uint64)
-        self.train = ~self.row.held[self.text_of(self.at)]
+        self.train = ~self.held.astype(bool)[self.texts[self.stretch]]
         self.n = np.bincount(self.pair_at[self.train], minlength=len(starts))
         self.one = order[starts]  # a token of each pair
 
-    def sums_of(self) -> tuple[np.ndarray, np.ndarray]:
+    def sums_of(self, mail: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """Counts over all parts of each pair, and which pairs this part owns."""
-        told, order = self.told("pairs"), np.argsort(self.names)
+        found, order = told(mail, "pairs"), np.argsort(self.names)
         total, mine = np.empty(len(order), np.int64), np.empty(len(order), bool)
-        total[order], mine[order] = told["n"], told["own"]
+        total[order], mine[order] = found["n"], found["own"]
         return total, mine
 
     def here(self) -> np.ndarray:
         """The contexts that stand before a token that may go deeper."""
         return np.flatnonzero(np.bincount(self.ctx_at, minlength=len(self.ctx)))
 
-    def climb(self, least_pair: int) -> None:
+    def climb(self, mail: pa.Table, least_pair: int) -> None:
         """Score in the states of this depth and keep what may go on."""
-        n = self.sums_of()[0][self.pair_at]
-        told, here = self.told("states"), self.here()
+        n = self.sums_of(mail)[0][self.pair_at]
+        found, here = told(mail, "states"), self.here()
         here = here[np.argsort(self.ctx[here].view(np.uint64))]
         count_of, weight_of = np.zeros(len(self.ctx), np.int64), np.full(len(self.ctx), np.nan)
-        count_of[here], weight_of[here] = told["n"], told["weight"]
+        count_of[here], weight_of[here] = found["n"], found["weight"]
         on = ~np.isnan(weight_of)[self.ctx_at]
         total, weight = count_of[self.ctx_at[on]], weight_of[self.ctx_at[on]]
         score = self.score.copy()
@@ -315,35 +336,69 @@ class Work:
         rare = np.zeros(len(self.tokens), bool)
         rare[self.at[n < self.least_context]] = True
         self.small[1:] |= self.small[:-1] | rare[:-1]
-        reach = self.at - self.starts[self.text_of(self.at)] >= self.depth
+        reach = self.at - self.first[self.stretch] >= self.depth
         self.settle(score, on & reach & ~self.small[self.at])
 
     def state(self) -> bytes:
+        """What the next levels need: of the texts, the tokens in which a context of a token that may go deeper can lie.
+
+        Such a context reaches no further back than ``depth`` tokens before the last small token, or to the text's beginning.
+        """
+        starts = np.cumsum(self.lengths) - self.lengths
+        stop = self.small.copy()
+        stop[starts] = True
+        run = (np.cumsum(stop) - 1)[self.at]
+        last = np.flatnonzero(np.append(run[1:] != run[:-1], True)) if len(run) else run
+        low = np.maximum(np.flatnonzero(stop)[run[last]] - self.depth, starts[self.stretch[last]])
+        kept = np.cumsum(np.bincount(low, minlength=len(stop) + 1) - np.bincount(self.at[last] + 1, minlength=len(stop) + 1))[:-1] > 0
+        # stretches begin where the token before is gone or is another stretch's
+        begin = np.append(True, ~kept[:-1])[: len(kept)]
+        begin[starts] = True
+        begins = np.flatnonzero(kept & begin)
+        old = np.searchsorted(starts, begins, "right") - 1
+        place = np.cumsum(kept) - 1
+        tokens = self.tokens[kept]
+        used = np.bincount(tokens, minlength=len(self.words)) > 0
+        used[0] = True
+        of = {"of_word": self.of_word[used]} if not self.depth else {"score": self.score}
         return packed(
-            gaps=np.diff(self.at, prepend=0).astype(np.uint32), score=self.score, base=self.base, known=self.known, sums=self.sums, small=np.packbits(self.small)
-        )
+            held=self.held, base=self.base, known=self.known, sums=self.sums, words=self.words[used], **of,
+            tokens=(np.cumsum(used) - 1).astype(np.uint32)[tokens], lengths=np.diff(np.append(place[begins], len(tokens))),
+            texts=self.texts[old], offsets=begins - self.first[old], small=np.packbits(self.small[kept]), gaps=np.diff(place[self.at], prepend=0).astype(np.uint32),
+        )
 
 
-def _stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """``df`` as a table in the shared folder; the shuffle files of the job that wrote it are removed when it has ended."""
+def _row(work: Work) -> pa.Table:
+    return pa.table({"part": pa.array([work.number], pa.int64()), "n_active": pa.array([len(work.at)], pa.int64()), "data": pa.array([work.state()], pa.binary())})
+
+
+def _stored(df: DataFrame, buckets: int = 0) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, in buckets by part if asked for; the shuffle files of the job that wrote it are removed when it has ended."""
     spark, path, name = df.sparkSession, scratch_path(df.sparkSession), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, None)
     spark.conf.set(name, "true")
     try:
-        df.write.parquet(path)
+        if buckets:
+            df.write.bucketBy(buckets, "part").option("path", path).saveAsTable(table := f"haulyard_{uuid.uuid4().hex}", format="parquet")
+        else:
+            df.write.parquet(path)
     finally:
         if before is None:
             spark.conf.unset(name)
         else:
             spark.conf.set(name, before)
-    return spark.read.schema(df.schema).parquet(path), path
+    if not buckets:
+        return spark.read.schema(df.schema).parquet(path), path
+    # the frame knows its files and buckets; the name is not needed any more
+    stored = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return stored, path
 
 
-def _dropped(spark: SparkSession, *paths: str) -> None:
-    """Delete tables of this run that no later step reads."""
-    for name in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _dropped(spark: SparkSession, path: str) -> None:
+    """Delete a table of this run that no later step reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def score(
@@ -352,81 +407,107 @@ def score(
 ) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``."""
     spark = docs.sparkSession
-    codes, _ = _stored(encode(docs, key, text, part_bytes))
-    row = codes.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()
-    ranges = max(12, -(-(row[0] or 0) // RANGE_TOKENS))
+    codes, texts = _stored(encode(docs, key, text, part_bytes))
+    row = codes.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)), F.count(F.lit(1))).first()
+    buckets = max(12, -(-row[1] // BUCKET_PARTS))
+
+    def ranges(n: int) -> int:
+        return max(12, -(-n // RANGE_TOKENS))
+
+    n_ranges = ranges(row[0] or 0)
 
     def words(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 flat = [batch.column(n).slice(i, 1).flatten().to_numpy() for n in ("words", "counts")]
-                yield from asked(batch.column("part")[i].as_py(), ranges, flat[0].view(np.uint64), n=flat[1]).to_batches()
+                yield from asked(batch.column("part")[i].as_py(), n_ranges, flat[0].view(np.uint64), n=flat[1]).to_batches()
 
-    told, _ = _stored(answers(codes.select("part", "words", "counts").mapInArrow(words, QUESTION)))
-    totals = told.agg(F.sum("n_all"), F.sum("n_seen")).first()
+    counted, path = _stored(answers(codes.select("part", "words", "counts").mapInArrow(words, QUESTION)))
+    totals = counted.agg(F.sum("n_all"), F.sum("n_seen")).first()
     n_tokens, n_words = int(totals[0] or 0), int(totals[1] or 0)
-    texts = codes.drop("keys", "counts")
 
-    def visit(depth: int, mail: DataFrame, run, schema: str, of: DataFrame = texts) -> DataFrame:
-        """``run`` once per part, at its state before ``depth``."""
+    def start(part: pa.Table, mail: pa.Table) -> pa.Table:
+        return _row(started(part, mail, n_tokens, n_words, least_context))
+
+    parts = codes.select("part", "held", "lengths", "words", "tokens").groupBy("part")
+    state, at = _stored(parts.cogroup(message(counted, "words").groupBy("in_part")).applyInArrow(start, STATE), buckets)
+    keys, _ = _stored(codes.select("part", "keys", "held", "lengths"))
+    _dropped(spark, path)
+    _dropped(spark, texts)
+
+    def visit(mail: DataFrame, run, schema: str, depth: int) -> DataFrame:
+        """``run`` once per part, where it lies, with the answers to it."""
 
         def one(part: pa.Table, found: pa.Table) -> pa.Table:
-            return run(Work(part, found, depth, n_tokens, n_words, least_context), part)
-
-        return of.groupBy("part").cogroup(mail.groupBy("in_part")).applyInArrow(one, schema)
-
-    def question(work: Work, part: pa.Table) -> pa.Table:
-        work.group()
-        return asked(work.number, ranges, work.names, n=work.n)
-
-    def terms(work: Work, part: pa.Table) -> pa.Table:
-        """Per context this part's count, and over the pairs it owns the terms of the divergence."""
-        work.group()
-        n, own = work.sums_of()
-        use = own & (n >= least_pair)
-        of, n, q = work.pair_ctx[use], n[use], 10.0 ** work.score[work.one[use]]
-        size, here = len(work.ctx), work.here()
-        total = np.bincount(work.ctx_at[work.train], minlength=size)[here]
-        pairs, kept, below, g = (np.bincount(of, w, size)[here] for w in (None, n, q, n * np.log(n / q)))
-        return asked(work.number, ranges, work.ctx[here].view(np.uint64), n=total, pairs=pairs, kept=kept.astype(np.int64), below=below, g=g)
-
-    def climbed(work: Work, part: pa.Table) -> pa.Table:
+            return run(Work.read(part["part"][0].as_py(), part["data"][0].as_py(), depth, least_context), found)
+
+        return state.groupBy("part").cogroup(mail.groupBy("in_part")).applyInArrow(one, schema)
+
+    def pairs_of(depth: int, ranges: int) -> DataFrame:
+        def question(batches):
+            for batch in batches:
+                for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    work = Work.read(number, data.as_py(), depth, least_context)
+                    work.group()
+                    yield from asked(number, ranges, work.names, n=work.n).to_batches()
+
+        # parts without a token left ask nothing
+        return answers(state.where("n_active > 0").select("part", "data").mapInArrow(question, QUESTION))
+
+    def terms_of(ranges: int):
+        def terms(work: Work, mail: pa.Table) -> pa.Table:
+            """Per context this part's count, and over the pairs it owns the terms of the divergence."""
+            if not len(work.at):
+                return ASKED.empty_table()
+            work.group()
+            n, own = work.sums_of(mail)
+            use = own & (n >= least_pair)
+            of, n, q = work.pair_ctx[use], n[use], 10.0 ** work.score[work.one[use]]
+            size, here = len(work.ctx), work.here()
+            total = np.bincount(work.ctx_at[work.train], minlength=size)[here]
+            pairs, kept, below, g = (np.bincount(of, w, size)[here] for w in (None, n, q, n * np.log(n / q)))
+            return asked(work.number, ranges, work.ctx[here].view(np.uint64), n=total, pairs=pairs, kept=kept.astype(np.int64), below=below, g=g)
+
+        return terms
+
+    def climbed(work: Work, mail: pa.Table) -> pa.Table:
         if len(work.at):
             work.group()
-            work.climb(least_pair)
-        return pa.table({"in_part": pa.array([work.number], pa.int64()), "data": pa.array([work.state()], pa.binary())})
+            work.climb(mail, least_pair)
+        return _row(work)
 
-    state, old = message(told, "words"), []
     for depth in count(1):
-        # parts without a token left ask nothing
-        pairs, one = _stored(answers(visit(depth, state, _if_any(question), QUESTION)))
-        heard = state.unionByName(message(pairs, "pairs"))
-        states, two = _stored(answers(visit(depth, heard, _if_any(terms), QUESTION), _decide(least_context, divergence)))
-        if not states.agg(F.sum("n_seen")).first()[0]:
-            _dropped(spark, one, two)
+        active = state.agg(F.sum("n_active")).first()[0]
+        if not active:
+            break
+        pairs, one = _stored(pairs_of(depth, ranges(active)))
+        heard = message(pairs, "pairs")
+        states, two = _stored(answers(visit(heard, terms_of(ranges(active)), QUESTION, depth), _decide(least_context, divergence)))
+        found = states.agg(F.sum("n_seen")).first()[0]
+        if found:
+            old = at
+            state, at = _stored(visit(heard.unionByName(message(states, "states")), climbed, STATE, depth), buckets)
+            _dropped(spark, old)
+        _dropped(spark, one)
+        _dropped(spark, two)
+        if not found:
             break
-        after, three = _stored(visit(depth, heard.unionByName(message(states, "states")), climbed, "in_part long, data binary"))
-        _dropped(spark, one, two, *old)
-        state, old = message(after, "state"), [three]
 
     kind = docs.schema[key].dataType.simpleString()
 
-    def scored(work: Work, part: pa.Table) -> pa.Table:
+    def scored(state: pa.Table, texts: pa.Table) -> pa.Table:
+        work = Work.read(state["part"][0].as_py(), state["data"][0].as_py(), 0, least_context)
         work.settle(work.score, np.zeros(len(work.at), bool))
-        row = work.row
+        own = {n: texts.column(n).combine_chunks().flatten() for n in ("keys", "held", "lengths")}
         return pa.table({
-            key: row.keys,
-            "held_out": pa.array(row.held, pa.bool_()),
-            "n_tokens": row.lengths,
+            key: own["keys"],
+            "held_out": own["held"],
+            "n_tokens": own["lengths"].cast(pa.int64()),
             "n_known": work.known,
-            "train_tokens": np.full(len(row.lengths), n_tokens, np.int64),
+            "train_tokens": np.full(len(work.sums), n_tokens, np.int64),
             "base_score": work.base,
             "score": work.sums,
         })
 
     out = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return visit(0, state, scored, out, codes.drop("counts"))
-
-
-def _if_any(run):
-    return lambda work, part: run(work, part) if len(work.at) else ASKED.empty_table()
+    return state.groupBy("part").cogroup(keys.groupBy("part")).applyInArrow(scored, out)
