@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +228,35 @@ def test_tree_grows_with_the_corpus_and_in_depth(spark):
     assert sum(r.score for r in held) > -0.05 * sum(r.n_tokens for r in held)
 
 
+def test_parts_are_visited_where_they_lie(spark):
+    rows = spark.range(40).selectExpr("id AS part", "id AS n_active", "cast(id AS string) AS text").selectExpr("part", "n_active", "cast(text AS binary) AS data")
+    stored, _ = suffix_tree._stored(rows, 12)
+    visited = stored.groupBy("part").cogroup(spark.range(50).groupBy("id")).applyInArrow(lambda part, mail: part, suffix_tree.STATE)
+    assert visited._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(r.part for r in visited.collect()) == list(range(40))
+
+
+def test_a_part_carries_on_only_what_contexts_can_lie_in():
+    part = suffix_tree.Part()
+    keys = (k for k in range(1000) if not suffix_tree.held_out(k))
+    for text in [b"a b c d"] * 12 + [" ".join(f"u{i}" for i in range(500)).encode(), b"a b c once"]:
+        part.add(next(keys), text)
+    row = {k: [v] for k, v in part.row(0).items()}
+    words = suffix_tree.unpacked(row["words"][0])
+    questions = suffix_tree.asked(0, 12, words["words"].view(np.uint64), n=words["counts"])
+    told = [suffix_tree._add_up(questions.slice(i, 1)) for i in range(questions.num_rows)]
+    mail = pa.concat_tables(t.append_column("kind", pa.array(["words"])) for t in told)
+    work = suffix_tree.started(pa.table(row), mail, 12, 574, 506, 10, 2)
+    kept = suffix_tree.unpacked(work.state())
+    assert row["n_tokens"] == [12 * 5 + 501 + 5] and len(kept["tokens"]) == 12 * 5 + 1 + 5 - 1
+    assert work.sums[12] < 0 and work.sums[0] == 0
+    back = suffix_tree.Work.read(0, work.state(), 1, 12, 10)
+    back.group()
+    # end a, a b, b c, c d, d end; neither "c once" nor what follows rare words
+    assert len(back.names) == 5 and list(back.own_counts()) == [13, 13, 13, 12, 12]
+    assert len(back.at) == 12 * 5 + 1 + 4
+
+
 # ---- token files ----------------------------------------------------------------------------
 
 
